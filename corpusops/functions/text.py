@@ -106,6 +106,16 @@ def clean_text(text: Column | str, legacy_email: bool = False) -> Column:
     return result
 
 
+def compute_once(df: DataFrame, column: str, value: Column) -> DataFrame:
+    """Add (or replace) a costly column that later filters may refer to.
+
+    The optimizer moves a filter below a projection by copying the column's expression into it, so
+    the work is done twice. It does not move filters below a generator; ``stack(1, x)`` is one.
+    """
+    others = [c for c in df.columns if c != column]
+    return df.select(*others, F.stack(F.lit(1), value).alias("__once")).withColumnRenamed("__once", column)
+
+
 def clean_column(
     df: DataFrame, column: str, output: str = "cleaned_text_column", legacy_email: bool = False
 ) -> DataFrame:
@@ -123,8 +133,9 @@ def clean_column(
         if needles:
             possible = reduce(or_, [text.contains(n) for n in needles])
             result = F.when(possible, result).otherwise(text)
+        if step is squeeze:
+            return compute_once(df, output, result)
         df = df.withColumn(output, result)
-    return df
 
 
 # words and sentences ------------------------------------------------------------------------------

@@ -85,7 +85,8 @@ def _curve(df: DataFrame, by: list[str], label: str, score: str) -> DataFrame:
     )
     fractions = [i / SCORE_CELLS for i in range(1, SCORE_CELLS)]
     bounds = at_score.agg(F.percentile_approx("score", fractions, 10000)).scalar()
-    cells = at_score.withColumn("__cell", F.size(F.filter(bounds, lambda b: b < F.col("score"))))
+    below = F.filter("__bounds", lambda b: b < F.col("score"))
+    cells = at_score.withColumn("__bounds", bounds).withColumn("__cell", F.size(below)).drop("__bounds")
     inside = Window.partitionBy(*by, "__cell").orderBy(F.col("score").desc())
     # one row per score range from here on
     group = Window.partitionBy(*by)
