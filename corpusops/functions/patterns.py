@@ -11,8 +11,10 @@ SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 #: a whitespace run that is not already exactly one blank
 LOOSE_SPACE = f"{SPACE}(?:{SPACE}+|(?<! ))"
 WORD = r"[0-9A-Za-z_\p{L}\p{N}]"
-CYRILLIC = "а-яА-ЯёЁ"
-LATIN = "a-zA-Z"
+# members of a class; the block test in front keeps the engine off its slow path for far ranges
+CYRILLIC = r"[\p{InCyrillic}&&[а-яА-ЯёЁ]]"
+CYRILLIC_LOWER = r"[\p{InCyrillic}&&[а-я]]"
+LATIN = r"\p{Alpha}"
 
 # fixed values: cleaning patterns
 HTML_TAG = r"(?d)<.*?>"
@@ -42,7 +44,7 @@ FETCH_FAILED = "Error loading"
 MESSAGE_CLASS = "tgme_widget_message_text js-message_text"
 UTC_OFFSET = r"[+-]\d{2}:\d{2}"
 
-# fixed values: law citations (stems, abbreviations, code names)
+# fixed values: law citations in lower-cased text (stems, abbreviations, code names)
 LAW_WORDS = [
     "закон[а-я]*", "указ[а-я]*", "кодекс[а-я]*", "фз",
     r"гк\s*рф", r"ук\s*рф", r"коап\s*рф", r"нк\s*рф", r"упк\s*рф", r"тк\s*рф",

@@ -179,20 +179,25 @@ def drop_members(items: Column, unwanted: Column) -> Column:
 
 
 def keep_alphabet(text: Column | str, alphabet: str = P.CYRILLIC) -> Column:
-    """Delete characters other than the alphabet, digits, dots and whitespace."""
+    """Delete characters other than the alphabet, digits, dots and whitespace.
+
+    ``alphabet`` is what stands between the brackets of a character class.
+    """
     kept = P.SPACE[1:-1]
-    return squeeze(F.regexp_replace(_col(text), rf"[^{alphabet}0-9.{kept}]", ""))
+    return squeeze(F.regexp_replace(_col(text), rf"[^{alphabet}\p{{Digit}}.{kept}]", ""))
 
 
 def letters_only(text: Column | str, alphabet: str = P.CYRILLIC + P.LATIN) -> Column:
     """Everything but letters becomes one blank."""
-    return F.trim(F.regexp_replace(_col(text), rf"[^{alphabet}]+", " "))
+    # in two steps, so that the lone blanks between words need no change
+    spaced = F.regexp_replace(_col(text), rf"[^ {alphabet}]+", " ")
+    return F.trim(F.regexp_replace(spaced, "  +", " "))
 
 
 def tidy_punctuation(text: Column | str, alphabet: str = P.CYRILLIC + P.LATIN) -> Column:
     """Keep letters, digits and dots that follow a digit; pull dots to the word before them."""
     space = P.SPACE[1:-1]
-    result = F.regexp_replace(_col(text), rf"[^{alphabet}0-9.:{space}]", " ")
+    result = F.regexp_replace(_col(text), rf"[^{alphabet}\p{{Digit}}.:{space}]", " ")
     result = F.regexp_replace(result, rf"{P.SPACE}+\.(?={P.NON_SPACE})", ".")
     result = F.regexp_replace(result, rf"(?<=\D){P.SPACE}+\.(?=\D)", ".")
     result = F.regexp_replace(result, r"(?<!\d)\.|:", "")

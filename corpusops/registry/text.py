@@ -189,5 +189,5 @@ def ascii_dates_removed(spark, sf_dir):
     second = F.date_format(F.date_sub(F.lit("2023-06-01").cast("date"), d % 500), "dd.MM.yyyy")
     text = F.concat(F.lit("on "), first.cast("string"), F.lit(" or "), second, F.lit(" in 2019. "), F.col("text"))
     published = F.date_add(F.lit("2023-01-01").cast("date"), d % 365).cast("timestamp_ntz")
-    return documents(spark, sf_dir).select(
-        "doc_id", remove_dates(text, published, datetime.date(2024, 12, 1)).alias("undated"))
+    dated = documents(spark, sf_dir).select("doc_id", text.alias("undated"), published.alias("published"))
+    return remove_dates(dated, "undated", "published", as_of=datetime.date(2024, 12, 1)).select("doc_id", "undated")
