@@ -1,0 +1,194 @@
+import datetime
+import math
+
+import pytest
+from pyspark.ml.classification import LinearSVC
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from corpusops.models import curves, linear
+from corpusops.operators import features as X
+from corpusops.operators.metrics import log_loss
+from corpusops.plans import infer, textflow, train
+from corpusops.session import stage
+
+TWO = [(1, "aa bb"), (2, "AA, cc cc!")]
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    """Texts whose label depends on one word, with a rare and a common term."""
+    rows = []
+    for i in range(120):
+        y = i % 2
+        words = ["общий", "суд" if y else "спорт", f"редкий{i % 40}", "день" if i % 3 else "ночь"]
+        rows.append((f"https://t.me/ch{i % 3}/{i}", f"ch{i % 3}", f"2024-0{5 + i % 3 // 2}-0{1 + i % 9}", " ".join(words), y, i))
+    return spark.createDataFrame(rows, "link string, channel string, date string, content string, true_label int, pos long")
+
+
+def test_document_frequency_and_vocabulary(spark):
+    df = spark.createDataFrame(TWO, "k long, t string")
+    assert sorted(tuple(r) for r in X.document_frequency(df, "t").collect()) == [("aa", 2), ("bb", 1), ("cc", 1)]
+    assert sorted(tuple(r) for r in X.vocabulary_sizes(df, "t", [1, 2, 3]).collect()) == [(1, 3), (2, 1), (3, 0)]
+
+
+EXPECTED = {(1, "aa"): 0.579739, (1, "bb"): 0.814802, (2, "aa"): 0.335176, (2, "cc"): 0.942156}
+
+
+def test_tfidf_long_and_vector_agree(spark):
+    df = spark.createDataFrame(TWO, "k long, t string")
+    long = {(r["k"], r["term"]): round(r["weight"], 6) for r in X.tfidf(df, "k", "t").collect()}
+    assert long == EXPECTED
+    terms = linear.vocabulary(df, "t", 1)
+    for stage_ in linear.tfidf_stages("t", terms, 2):
+        df = stage_.transform(df)
+    for row in df.select("k", vector_to_array("__tfidf").alias("v")).collect():
+        got = {(row["k"], t): round(w, 6) for t, w in zip(terms["term"], row["v"]) if w}
+        assert got == {key: w for key, w in EXPECTED.items() if key[0] == row["k"]}
+
+
+def test_vocabulary_bound_is_an_error_not_a_cut(spark):
+    df = spark.createDataFrame(TWO, "k long, t string")
+    with pytest.raises(ValueError, match="more than 2"):
+        linear.vocabulary(df, "t", 1, max_vocabulary=2)
+    with pytest.raises(ValueError, match="no term"):
+        linear.vocabulary(df, "t", 3)
+    assert len(linear.vocabulary(df, "t", 1, max_vocabulary=3)) == 3
+
+
+def test_scaler_keeps_rare_terms(spark, corpus):
+    terms = linear.vocabulary(corpus, "content", 1)
+    df = corpus
+    for stage_ in linear.tfidf_stages("content", terms, 120):
+        df = stage_.transform(df)
+    scaler = linear.quartile_scaler(df, terms, 120, 1e-6)
+    scale = dict(zip(terms["term"], scaler.getScalingVec().toArray()))
+    assert scale["редкий7"] == 1.0
+    widths = df.select(F.explode(F.array(F.struct(vector_to_array("__tfidf")[int(terms.index[terms.term == "день"][0])].alias("x")))).alias("s")).select("s.x")
+    low, high = widths.approxQuantile("x", [0.25, 0.75], 0.0)
+    assert scale["день"] == pytest.approx(1 / (high - low))
+
+
+def test_fit_predict_save_load(spark, corpus, tmp_path):
+    model = linear.fit_text_classifier(corpus, "content", min_df=2)
+    scored = linear.predict(model, corpus)
+    assert scored.columns == [*corpus.columns, "predicted_label", "predicted_probability"]
+    assert scored.where("predicted_label <> true_label").count() == 0
+    linear.save_model(model, str(tmp_path / "m"))
+    again = linear.predict(linear.load_model(str(tmp_path / "m")), corpus)
+    assert again.exceptAll(scored).count() == 0
+    nulls = linear.predict(model, spark.createDataFrame([(None,), ("",)], "content string"))
+    assert nulls.where("predicted_probability is null").count() == 0
+
+
+def test_loss_falls_with_training(corpus):
+    weak = linear.predict(linear.fit_text_classifier(corpus, "content", min_df=2, c=0.02), corpus)
+    strong = linear.predict(linear.fit_text_classifier(corpus, "content", min_df=2, c=2.0), corpus)
+    assert log_loss(strong, []).first()[0] < log_loss(weak, []).first()[0] <= math.log(2) + 1e-9
+
+
+def test_optimum_of_the_penalised_objective(spark):
+    """One binary feature, penalised intercept: compare with a grid search of |w| + |b| + C * loss."""
+    rows = [(1, "aa bb")] * 7 + [(0, "aa bb")] * 2 + [(0, "aa cc")] * 8 + [(1, "aa cc")] * 3
+    df = spark.createDataFrame(rows, "true_label int, t string")
+    model = linear.fit_text_classifier(df, "t", min_df=1, scaled=False, c=2.0)
+    vectors = linear.feature_vectors(model, df, "true_label").select("true_label", vector_to_array("features").alias("x")).collect()
+
+    def objective(w):
+        return sum(map(abs, w)) + 2.0 * sum(
+            math.log1p(math.exp(-(1 if r["true_label"] else -1) * sum(a * b for a, b in zip(w, r["x"])))) for r in vectors)
+
+    found = list(model.stages[-1].coefficients.toArray())
+    best = objective(found)
+    for i in range(len(found)):
+        for step in (0.05, -0.05):
+            assert best <= objective([w + (step if i == j else 0) for j, w in enumerate(found)]) + 1e-6
+
+
+def test_decision_scores_of_other_classifiers(spark, corpus):
+    model = linear.fit_text_classifier(corpus, "content", min_df=2, classifier=LinearSVC(labelCol="true_label", maxIter=20))
+    scored = linear.predict(model, corpus)
+    assert scored.where("(predicted_probability > 0.5) <> (predicted_label = 1)").count() == 0
+
+
+def test_learning_curve(corpus):
+    model = linear.fit_text_classifier(corpus, "content", min_df=2, scaled=False)
+    vectors = stage(linear.feature_vectors(model, corpus, "link", "true_label"), "v")
+    table = curves.learning_curve(vectors, "link", fractions=[0.0, 1.0], folds=2)
+    got = {(r["fraction"], r["part"]): r["mean"] for r in table.collect()}
+    assert got[(0.0, "train")] is None and got[(0.0, "valid")] is None
+    assert 0 < got[(1.0, "train")] < math.log(2)
+    assert len(curves.TRAIN_FRACTIONS) == 30 and curves.TRAIN_FRACTIONS[-1] == pytest.approx(1.0)
+
+
+def test_min_df_sweep(corpus):
+    metrics, sizes, curve = curves.min_df_sweep(corpus, "link", "m", "content", min_df_values=[2, 10, 500], fractions=[1.0])
+    names = {r["model_name"] for r in metrics.collect()}
+    vocabulary = {r["min_df"]: r["vocab_size"] for r in sizes.collect()}
+    assert names == {f"m_min_df_{v}_vocab_{vocabulary[v]}" for v in (2, 10)} and vocabulary[500] == 0
+    assert {r["data_type"] for r in metrics.collect()} == {"train", "train_holdout", "dev", "test"}
+    assert curve.count() == 4
+
+
+OPTIONS = textflow.TextOptions(as_of=datetime.date(2030, 1, 1), min_channel_rows=5)
+
+
+def test_text_flow_with_saved_statistics(spark, corpus, tmp_path):
+    noisy = corpus.withColumn("content", F.concat(F.lit("Подпишись на канал! "), F.initcap("content"), F.lit(". И 15 раз.")))
+    done, stats = textflow.process_texts(noisy, options=OPTIONS)
+    row = done.where("pos = 4").first()
+    assert "подпишись" not in row["cleaned_text_column"] and "15" not in row["cleaned_text_column"]
+    assert row["cleaned_text_column"].split() == ["общий", "спорт", "редкий", "день"]
+    stats.save(str(tmp_path / "s"))
+    loaded = textflow.ChannelStats.load(spark, str(tmp_path / "s"))
+    again, _ = textflow.process_texts(noisy.where("pos = 4"), stats=loaded, options=OPTIONS)
+    assert again.first()["final_processed_text"] == row["final_processed_text"]
+
+
+def test_text_flow_without_channel_date_or_text(spark):
+    df = spark.createDataFrame([("Суд да дело. 5 кг",), (None,)], "content string")
+    done, stats = textflow.process_texts(df, options=OPTIONS)
+    assert stats is None and sorted(r["final_processed_text"] for r in done.collect()) == ["", "суд дело кг"]
+
+
+def test_lemmas_in_the_flow(spark):
+    df = spark.createDataFrame([("Мамы мыли",)], "content string")
+    table = spark.createDataFrame([("мамы", "мама")], "form string, lemma string")
+    done, _ = textflow.process_texts(df, lemmas=table, options=OPTIONS)
+    assert done.first()["final_processed_text"] == "мама мыли"
+
+
+def test_merge_sources(spark):
+    news = spark.createDataFrame([("https://t.me/a/1", "x", "2024-01-01", 1), ("https://t.me/own/1", "x", "2024-01-01", 2),
+                                  ("https://t.me/bad/1", "x", "2024-01-01", 3), ("https://t.me/a/9", None, "2024-01-01", 4)],
+                                 "url string, content string, date string, pos long")
+    extra = spark.createDataFrame([("7", "https://t.me/a/1", "summary"), ("8", "https://t.me/b/2", None)], "parsed string, link string, summary string")
+    links = spark.createDataFrame([("7", "2023-01-01", 1), ("7", "2023-02-02", 2)], "nid string, created_at string, pos long")
+    positives = train.date_extra_positives(extra, links, "pos").withColumn("pos", F.lit(10).cast("long"))
+    merged = train.merge_sources([
+        train.Source("news", news, 0, {"url": "link"}), train.Source("extra", positives, 1, {"summary": "content"})],
+        "pos", exclude_like="OWN", exclude_channels=["bad"])
+    assert [tuple(r) for r in merged.collect()] == [
+        ("extra", "https://t.me/a/1", "a", datetime.datetime(2023, 2, 2), "summary", 1, 10)]
+
+
+def test_train_and_infer(spark, corpus, tmp_path):
+    output = str(tmp_path / "out")
+    done = train.train(corpus.withColumn("data_source", F.lit("x")), options=OPTIONS, min_df=2, output=output)
+    assert {r["data_type"] for r in done.metrics.collect()} == {"train", "train_holdout", "dev", "test"}
+    model = linear.load_model(f"{output}/model")
+    stats = textflow.ChannelStats.load(spark, f"{output}/channel_stats")
+    scored = infer.score_news(model, corpus.drop("true_label"), stats=stats, options=OPTIONS)
+    assert scored.columns == infer.RESULT_COLUMNS and scored.count() == 120
+    texts = infer.score_texts(spark, model, ["Суд идет", "Спорт"], options=OPTIONS)
+    p = {r["content"]: r["predicted_probability"] for r in texts.collect()}
+    assert p["Суд идет"] > 0.5 > p["Спорт"]
+
+    path = tmp_path / "in.csv"
+    path.write_text("link;summary;date\nhttps://t.me/ch1/5;Суд идет;2024-06-01\n", encoding="utf-8")
+    result = infer.score_file(spark, model, str(path), str(tmp_path / "scored"), stats=stats, options=OPTIONS)
+    assert result.first()["predicted_labels"] == 1
+    assert len(list((tmp_path / "scored").iterdir())) == 1
+    single = tmp_path / "one.csv"
+    single.write_text("text\nСпорт\n", encoding="utf-8")
+    assert infer.score_file(spark, model, str(single), options=OPTIONS).first()["predicted_labels"] == 0
