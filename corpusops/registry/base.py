@@ -117,3 +117,30 @@ def clean_sql(text: str, legacy_email: bool = False) -> str:
     for pattern, replacement in steps:
         text = f"regexp_replace({text}, '{pattern}', '{replacement}', 'g')"
     return f"trim({text})"
+
+
+LETTERS = "а-яА-ЯёЁa-zA-Z"
+
+
+def tidy_sql(text: str) -> str:
+    steps = [
+        (rf"[^{LETTERS}0-9.:\t-\r\x1C-\x20\x85\p{{Z}}]", " "), (rf"{WS}+\.({NWS})", r".\1"),
+        (rf"([^0-9]){WS}+\.([^0-9])", r"\1.\2"), (r"([0-9])\.", "\\1\x01"), ("[.:]", ""), ("\x01", "."), (f"{WS}+", " "),
+    ]
+    for pattern, replacement in steps:
+        text = f"regexp_replace({text}, '{pattern}', '{replacement}', 'g')"
+    return f"trim({text})"
+
+
+def undated_ctes(source: str, year: int) -> str:
+    """CTEs from ``source`` (doc_id, lower-cased t, pub) to ``undated``, for texts without Cyrillic."""
+    date = r"\b(?:\d{1,2}[./]\d{1,2}[./]\d{4}|\d{4}-\d{1,2}-\d{1,2}|\d{4})\b"
+    part = "string_split(replace(x, '/', '.'), '.')"
+    return rf"""mentions AS (SELECT doc_id, pub, regexp_split_to_array(t, '{date}') AS g, list_transform(regexp_extract_all(t, '{date}'), lambda x: [x, CAST(coalesce(
+    try_cast(CASE WHEN length(x) = 4 THEN x || '-01-01' WHEN x[5] = '-' THEN x ELSE {part}[3] || '-' || {part}[2] || '-' || {part}[1] END AS DATE),
+    DATE '0001-01-01') AS VARCHAR)]) AS x FROM {source}),
+resolved AS (SELECT doc_id, array_to_string(list_transform(list_zip(g, x), lambda p: regexp_replace(coalesce(p[1], ''), '[^{LETTERS}]+', ' ', 'g') || CASE
+    WHEN p[2] IS NULL THEN '' WHEN p[2][2] = '0001-01-01' OR (length(p[2][1]) = 4 AND CAST(p[2][1] AS INTEGER) NOT BETWEEN 2001 AND 2049) THEN ' '
+    WHEN year(CAST(p[2][2] AS DATE)) = {year} OR CAST(p[2][2] AS DATE) >= pub THEN ''
+    ELSE ' ' || p[2][1] || ' ' END), '') AS t FROM mentions),
+undated AS (SELECT doc_id, {tidy_sql('t')} AS undated FROM resolved)"""

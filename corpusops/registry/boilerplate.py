@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import channels as C
 from ..plans.textflow import TextOptions, process_texts
-from .base import NEWS, WS, clean_sql, news, query, sentences_sql, tokens_sql
+from .base import NEWS, WS, clean_sql, news, query, sentences_sql, tokens_sql, undated_ctes
 
 
 @query(f"WITH {NEWS} SELECT channel, count(*) AS rows FROM news GROUP BY channel")
@@ -105,13 +105,15 @@ _STOP = ("the", "of", "and", "to", "de", "la", "und", "el", "los", "is")
 _ALPHABET = "a-zà-ÿ"
 _OPTIONS = TextOptions(stopwords=_STOP, alphabet=_ALPHABET, min_channel_rows=5, as_of=datetime.date(2000, 1, 1))
 _STOP_SQL = ", ".join(f"'{w}'" for w in _STOP)
-# letters the clean-up of dates and laws keeps; numbers and years outside citations go, as no year
-# of these texts (2001 to 2049) comes before the publication dates
-_LETTERS_SQL = "trim(regexp_replace(lower(content), '[^а-яА-ЯёЁa-zA-Z]+', ' ', 'g'))"
-_YEARS = r"\b(?:200[1-9]|201[0-9]|202[0-3])\b"
+_STOPPED = f"array_to_string(list_filter({tokens_sql('undated')}, lambda w: w NOT IN ({_STOP_SQL})), ' ')"
+_KEPT = rf"trim(regexp_replace(regexp_replace({_STOPPED}, '[^{_ALPHABET}0-9.\t-\r\x1C-\x20\x85\p{{Z}}]', '', 'g'), '{WS}+', ' ', 'g'))"
 
 
-@query()
+@query(f"""WITH {NEWS.replace('news AS', 'raw AS')}, news AS (SELECT doc_id, channel, date, {clean_sql('content')} AS content FROM raw),
+{_frequent_sql('news', 'content')}, {_REMOVED},
+d AS (SELECT doc_id, lower(content) AS t, date AS pub FROM kept), {undated_ctes('d', 2000)},
+normal AS (SELECT doc_id, channel, {_KEPT} AS content FROM undated JOIN kept USING (doc_id)),
+{_words_removed_sql('normal', 'content', 3)}""")
 def full_text_processing(spark, sf_dir):
     data, _ = process_texts(news(spark, sf_dir), options=_OPTIONS)
-    return data.select("doc_id", "channel", "final_processed_text")
+    return data.select("doc_id", "final_processed_text")

@@ -63,11 +63,16 @@ def link_page_join(spark, sf_dir):
     return L.link_texts(links, L.page_texts(fetched, tag="div", cls="ad")).select("nid", "link", "extracted_text")
 
 
-@query()
+_DIV = _decode(r"trim(regexp_replace(regexp_extract(html, '<div class=\"ad\">([^<]*)</div>', 1), '[\t-\r\x1C-\x20\x85\p{Z}]+', ' ', 'g'))")
+
+
+@query(rf"""WITH {_LINKS}, told AS (SELECT nid, index, text, regexp_replace(link, '^https?://([^/]+)/', 'https://t.me/\1/') AS link FROM links),
+fetched AS (SELECT regexp_replace(url, '^https?://([^/]+)/.*', 'https://t.me/\1/The', 's') AS link, max({_DIV}) AS page_text FROM pages GROUP BY 1)
+SELECT nid, index, text, link, coalesce(page_text, 'Error loading') AS extracted_text FROM told LEFT JOIN fetched USING (link)""")
 def message_texts(spark, sf_dir):
     """Whole extraction: links of every page, and the text of the pages they lead to."""
     articles = _articles(spark, sf_dir)
-    text = F.regexp_replace("text", "https?://([^/\"]+)/", "https://t.me/$1/")
+    text = F.regexp_replace("text", "href=\"https?://([^/\"]+)/", "href=\"https://t.me/$1/")
     pages = table(spark, sf_dir, "pages").select(
         F.concat(F.regexp_replace("url", "https?://([^/]+)/.*", "https://t.me/$1/The"), F.lit("?embed=1&mode=tme")).alias("url"), "html")
     return extract_message_texts(articles.withColumn("text", text), pages, _OWN, tag="div", cls="ad")[1]

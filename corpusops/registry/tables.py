@@ -76,7 +76,7 @@ def not_null_text(spark, sf_dir):
     return frames.not_null(_holes(spark, sf_dir), "content").select("doc_id", "content")
 
 
-@query()
+@query(f"WITH {NEWS} SELECT link, channel, content, content AS final_processed_text FROM news")
 def filled_columns(spark, sf_dir):
     data = frames.with_default(news(spark, sf_dir).withColumn("predicted_labels", F.lit(None).cast("int")), "final_processed_text", "content")
     return frames.select_filled(data, ["link", "channel", "content", "final_processed_text", "predicted_labels", "predicted_probability"])

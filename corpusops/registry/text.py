@@ -12,7 +12,9 @@ from ..functions.spans import remove_dates
 from ..operators import frames
 from ..operators.dedup import distinct_in_order
 from ..operators.lemmas import lemmatize
-from .base import NEWS, W, WS, clean_sql, documents, news, query, sentences_sql, table, terms_sql, tokens_sql
+from .base import (
+    LETTERS, W, WS, clean_sql, documents, query, sentences_sql, terms_sql, tidy_sql, tokens_sql, undated_ctes,
+)
 
 # every cleaning step has something to remove in these texts
 _DIRTY_SQL = ("'<b>' || source || '</b>&nbsp;' || chr(8203) || text || ' https://' || source || '.com/x?a=b www.' || source "
@@ -131,28 +133,12 @@ def distinct_words_in_order(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", F.array_join(distinct_in_order(T.tokens("text")), " ").alias("words"))
 
 
-_LETTERS = "а-яА-ЯёЁa-zA-Z"
-
-
-@query(f"SELECT doc_id, trim(regexp_replace(text, '[^{_LETTERS}]+', ' ', 'g')) AS letters FROM documents")
+@query(f"SELECT doc_id, trim(regexp_replace(text, '[^{LETTERS}]+', ' ', 'g')) AS letters FROM documents")
 def letters_only(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", T.letters_only("text").alias("letters"))
 
 
-def _tidy_sql(text: str) -> str:
-    steps = [
-        (rf"[^{_LETTERS}0-9.:\t-\r\x1C-\x20\x85\p{{Z}}]", " "), (rf"{WS}+\.({NWS_})", r".\1"),
-        (rf"([^0-9]){WS}+\.([^0-9])", r"\1.\2"), (r"([0-9])\.", "\\1\x01"), ("[.:]", ""), ("\x01", "."), (f"{WS}+", " "),
-    ]
-    for pattern, replacement in steps:
-        text = f"regexp_replace({text}, '{pattern}', '{replacement}', 'g')"
-    return f"trim({text})"
-
-
-NWS_ = r"[^\t-\r\x1C-\x20\x85\p{Z}]"
-
-
-@query(f"SELECT doc_id, {_tidy_sql('text')} AS tidy FROM documents")
+@query(f"SELECT doc_id, {tidy_sql('text')} AS tidy FROM documents")
 def tidy_punctuation(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", T.tidy_punctuation("text").alias("tidy"))
 
@@ -168,21 +154,12 @@ def lemma_join(spark, sf_dir):
     return lemmatize(docs, table, "text", "doc_id", "lemmas").select("doc_id", "lemmas")
 
 
-_DATE = r"\b(?:\d{1,2}[./]\d{1,2}[./]\d{4}|\d{4}-\d{1,2}-\d{1,2}|\d{4})\b"
 _DATED_SQL = ("'on ' || strftime(DATE '2022-06-01' + CAST(doc_id % 700 AS INTEGER), '%Y-%m-%d') || ' or ' || "
               "strftime(DATE '2023-06-01' - CAST(doc_id % 500 AS INTEGER), '%d.%m.%Y') || ' in 2019. ' || text")
 
 
-@query(rf"""WITH d AS (SELECT doc_id, lower({_DATED_SQL}) AS t, TIMESTAMP '2023-01-01' + to_days(CAST(doc_id % 365 AS INTEGER)) AS pub FROM documents),
-m AS (SELECT doc_id, pub, regexp_split_to_array(t, '{_DATE}') AS g, list_transform(regexp_extract_all(t, '{_DATE}'), lambda x: [x, CAST(coalesce(
-    try_cast(CASE WHEN length(x) = 4 THEN x || '-01-01' WHEN x[5] = '-' THEN x
-      ELSE string_split(replace(x, '/', '.'), '.')[3] || '-' || string_split(replace(x, '/', '.'), '.')[2] || '-' || string_split(replace(x, '/', '.'), '.')[1] END AS DATE),
-    DATE '0001-01-01') AS VARCHAR)]) AS x FROM d),
-r AS (SELECT doc_id, array_to_string(list_transform(list_zip(g, x), lambda p: regexp_replace(coalesce(p[1], ''), '[^{_LETTERS}' || chr(57344) || ']+', ' ', 'g') || CASE
-    WHEN p[2] IS NULL THEN '' WHEN p[2][2] = '0001-01-01' OR (length(p[2][1]) = 4 AND CAST(p[2][1] AS INTEGER) NOT BETWEEN 2001 AND 2049) THEN ' '
-    WHEN year(CAST(p[2][2] AS DATE)) = 2024 OR CAST(p[2][2] AS DATE) >= pub THEN ''
-    ELSE ' ' || p[2][1] || ' ' END), '') AS t FROM m)
-SELECT doc_id, {_tidy_sql('t')} AS undated FROM r""")
+@query(f"""WITH d AS (SELECT doc_id, lower({_DATED_SQL}) AS t, TIMESTAMP '2023-01-01' + to_days(CAST(doc_id % 365 AS INTEGER)) AS pub FROM documents),
+{undated_ctes('d', 2024)} SELECT doc_id, undated FROM undated""")
 def ascii_dates_removed(spark, sf_dir):
     d = F.col("doc_id").cast("int")
     first = F.date_add(F.lit("2022-06-01").cast("date"), d % 700)
