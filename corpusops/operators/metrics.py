@@ -8,6 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import compute_once
 from .frames import require
 
 #: score ranges that are ranked apart; each holds about 1/SCORE_CELLS of the distinct scores
@@ -76,7 +77,8 @@ def _curve(df: DataFrame, by: list[str], label: str, score: str) -> DataFrame:
     in the whole group (all_pos, all_neg).
 
     The running sums are taken in score ranges of about equal numbers of distinct scores, whose
-    totals are then summed up in turn, so no task sees all scores of a group.
+    totals are then summed up in turn, so no task sees all scores of a group. The range bounds come
+    to the driver first (one job): both branches must cut at the very same scores.
     """
     at_score = (
         df.where(F.col(score).isNotNull())
@@ -84,9 +86,9 @@ def _curve(df: DataFrame, by: list[str], label: str, score: str) -> DataFrame:
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     )
     fractions = [i / SCORE_CELLS for i in range(1, SCORE_CELLS)]
-    bounds = at_score.agg(F.percentile_approx("score", fractions, 10000)).scalar()
-    below = F.filter("__bounds", lambda b: b < F.col("score"))
-    cells = at_score.withColumn("__bounds", bounds).withColumn("__cell", F.size(below)).drop("__bounds")
+    bounds = at_score.agg(F.percentile_approx("score", fractions, 10000)).first()[0] or []
+    limits = F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast("array<double>")
+    cells = compute_once(at_score, "__cell", F.size(F.filter(limits, lambda b: b < F.col("score"))))
     inside = Window.partitionBy(*by, "__cell").orderBy(F.col("score").desc())
     # one row per score range from here on
     group = Window.partitionBy(*by)
