@@ -57,11 +57,13 @@ def with_default(df: DataFrame, column: str, source: str) -> DataFrame:
     return df if column in df.columns else df.withColumn(column, F.col(source))
 
 
+def filled_columns(df: DataFrame, columns: Iterable[str]) -> list[str]:
+    """The listed columns that exist and hold a value. Each look stops at the first value found."""
+    return [c for c in _present(df, columns) if df.where(F.col(c).isNotNull()).select(c).take(1)]
+
+
 def select_filled(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Keep the listed columns that exist and hold at least one value (one aggregation job)."""
-    present = _present(df, columns)
-    counts = df.agg(*[F.count(c).alias(c) for c in present]).first()
-    return df.select(*[c for c in present if counts[c] > 0])
+    return df.select(*filled_columns(df, columns))
 
 
 def with_channel(df: DataFrame, link: str = "link", channel: str = "channel") -> DataFrame:

@@ -40,17 +40,12 @@ def test_legacy_email_keeps_local_part(spark):
     assert T.clean_column(df, "t", "c", legacy_email=True).first()["c"] == "почта a тут"
 
 
-def _python_clean(text):
-    """The cleaning written with Python's re, to compare with on arbitrary text."""
-    for pattern, replacement in [
-        (r"<.*?>", ""), ("[​‌‍﻿]", ""), ("&nbsp;", " "), (r"[A-Za-z0-9_-]{25,}", " "),
-        ("[Ⓜ-\U0010ffff]+", " "), (r"#\S+", " "),
-        (r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", " "), (r"@\S+", " "),
-        (r"http[s]?://\S+|www\.\S+", " "), (r"[@/]", " "), (r"([.!?:])(?!\s)([А-ЯЁ])", r"\1 \2"), (r"\s+", " "),
-    ]:
-        text = re.sub(pattern, replacement, text)
-    return text.strip()
-
+# fixed values: the cleaning steps in Python's dialect, in order
+CLEAN_STEPS = [
+    (r"<.*?>", ""), ("[\u200b\u200c\u200d\ufeff]", ""), ("&nbsp;", " "), (r"[A-Za-z0-9_-]{25,}", " "),
+    ("[\u24c2-\U0010ffff]+", " "), (r"#\S+", " "), (r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", " "),
+    (r"@\S+", " "), (r"http[s]?://\S+|www\.\S+", " "), (r"[@/]", " "), (r"([.!?:])(?!\s)([А-ЯЁ])", r"\1 \2"), (r"\s+", " "),
+]
 
 _FRAGMENTS = st.sampled_from([
     "<b>", "</b>", "<", ">", "#", "#тег", "@", "@кто", "a@b.ru", "http://", "https://x.y/z", "www.", "www.a", "/", ".", "!",
@@ -62,7 +57,7 @@ _FRAGMENTS = st.sampled_from([
 def test_clean_text_agrees_with_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = T.clean_column(df, "t", "c").select("t", "c").collect()
-    assert [r["c"] for r in got] == [_python_clean(r["t"]) for r in got]
+    assert [r["c"] for r in got] == [_apply(CLEAN_STEPS, r["t"]) for r in got]
 
 
 @settings(max_examples=10, deadline=None)
@@ -101,12 +96,17 @@ def test_keep_alphabet_inserts_no_blank(values):
     assert values(lambda v: T.keep_alphabet(v, "a-z"), ["кот cat"]) == ["cat"]
 
 
-def _python_tidy(text):
-    text = re.sub(r"[^а-яА-ЯёЁa-zA-Z0-9\s.:]", " ", text)
-    text = re.sub(r"\s+\.(?=\S)", ".", text)
-    text = re.sub(r"(?<=\D)\s+\.(?=\D)", ".", text)
-    text = re.sub(r"(?<!\d)\.|[^\w\s.]|(?<!\d)\.(?!\d)", "", text)
-    return re.sub(r"\s+", " ", text).strip()
+# fixed values: the punctuation steps, in order
+TIDY_STEPS = [
+    (r"[^а-яА-ЯёЁa-zA-Z0-9\s.:]", " "), (r"\s+\.(?=\S)", "."), (r"(?<=\D)\s+\.(?=\D)", "."),
+    (r"(?<!\d)\.|[^\w\s.]|(?<!\d)\.(?!\d)", ""), (r"\s+", " "),
+]
+
+
+def _apply(steps, text):
+    for pattern, replacement in steps:
+        text = re.sub(pattern, replacement, text)
+    return text.strip()
 
 
 @settings(max_examples=15, deadline=None)
@@ -114,7 +114,7 @@ def _python_tidy(text):
 def test_tidy_and_letters_agree_with_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     for r in df.select("t", T.tidy_punctuation("t").alias("p"), T.letters_only("t").alias("l")).collect():
-        assert r["p"] == _python_tidy(r["t"])
+        assert r["p"] == _apply(TIDY_STEPS, r["t"])
         assert r["l"] == re.sub(r"[^а-яА-ЯёЁa-zA-Z]+", " ", r["t"]).strip(" ")
 
 
