@@ -50,18 +50,18 @@ def clean_filter_count(spark, sf_dir):
     return kept.groupBy("source").agg(F.count("*").alias("rows"), F.sum("word_count").alias("words"))
 
 
-@query(f"SELECT doc_id, len(regexp_extract_all(text, '{W}+')) AS word_count FROM documents")
+@query(f"SELECT doc_id, CAST(len(regexp_extract_all(text, '{W}+')) AS INTEGER) AS word_count FROM documents")
 def word_count(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", T.word_count("text").alias("word_count"))
 
 
-@query(f"""SELECT doc_id, len(regexp_extract_all(text, '{W}+')) AS word_count FROM documents
+@query(f"""SELECT doc_id, CAST(len(regexp_extract_all(text, '{W}+')) AS INTEGER) AS word_count FROM documents
 WHERE len(regexp_extract_all(text, '{W}+')) >= 7""")
 def word_count_filter(spark, sf_dir):
     return frames.split_by_length(documents(spark, sf_dir), "text", 7)[0].select("doc_id", "word_count")
 
 
-@query(f"""SELECT doc_id, text, len(regexp_extract_all(text, '{W}+')) AS word_count FROM documents
+@query(f"""SELECT doc_id, text, CAST(len(regexp_extract_all(text, '{W}+')) AS INTEGER) AS word_count FROM documents
 WHERE len(regexp_extract_all(text, '{W}+')) <= 7""")
 def short_rows(spark, sf_dir):
     return frames.split_by_length(documents(spark, sf_dir), "text", 7)[1].select("doc_id", "text", "word_count")
