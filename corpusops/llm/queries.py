@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import jaccard_join, mixing, quality_rules, suffix_tree_lm, url_filters
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,54 @@ def op9_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "kept", F.array_join(F.sort_array("broken_rules"), ",").alias("broken_rules"))
+
+
+#: fixed values: the rules that the query judges by
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+_FITS = " UNION ALL ".join(
+    f"SELECT url, host, path, '{h}{p}' AS rule, '{a}' AS action FROM parts WHERE (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}')"
+    for h, p, a in URL_RULES)
+
+
+@query(f"""WITH rest AS (SELECT DISTINCT url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+cut AS (SELECT url, r, regexp_extract(r, '^[^/?#]*') AS h FROM rest),
+parts AS (SELECT url, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(substr(r, length(h) + 1), '^[^?#]*') AS path FROM cut),
+best AS (SELECT url, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action FROM ({_FITS}) GROUP BY url)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM pages
+JOIN parts ON pages.url IS NOT DISTINCT FROM parts.url LEFT JOIN best ON pages.url IS NOT DISTINCT FROM best.url""")
+def op5_url_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return url_filters.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query(rf"""WITH sized AS (SELECT doc_id, source, len({WORDS_SQL}) AS size, md5(coalesce(text, '')) AS digest,
+    length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')) AS symbols FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size, 3.0::DOUBLE * sum(size) AS cap,
+    ([5.0::DOUBLE, 2.0, 1.0])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS share FROM sized GROUP BY source),
+filled AS (SELECT cap / share AS top, sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / share, source
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest, sum(share) OVER (ORDER BY cap / share, source
+    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS shares FROM sources),
+level AS (SELECT min(rest / shares) AS level FROM (SELECT *, row_number() OVER (ORDER BY top, rest DESC) AS k FROM filled WHERE rest / shares <= top) WHERE k = 1),
+targets AS (SELECT source, source_size, least(cap, share * level) AS target FROM sources, level),
+goals AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM targets),
+keyed AS (SELECT doc_id, source, size, -ln((('0x' || substr(md5('0|' || doc_id || '|' || substr(digest, 1, 16)), 1, 8))::BIGINT + 0.5::DOUBLE)
+    / 4294967296.0::DOUBLE) / greatest(0.25::DOUBLE, (size + 1)::DOUBLE / (size + 1 + 10 * symbols)) AS key FROM sized),
+running AS (SELECT keyed.*, source_size, target, epochs, target - epochs * source_size AS budget,
+    sum(size) OVER (PARTITION BY keyed.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS fin
+    FROM keyed JOIN goals ON keyed.source IS NOT DISTINCT FROM goals.source),
+chosen AS (SELECT *, (epochs + (fin - size < budget AND (fin <= budget OR fin - budget < budget - (fin - size)))::INTEGER)::INTEGER AS copies FROM running)
+SELECT doc_id, size::BIGINT AS size, source_size, target, (size * copies)::BIGINT AS taken, copies FROM chosen""")
+def op6_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query()
+def op8_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_lm.score(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_components(table(spark, sf_dir, "documents"), width=4, percent=85)
