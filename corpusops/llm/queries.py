@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, mixing, quality_rules, suffix_tree_lm, url_filters
+from . import jaccard_join, mixing, neighbour_votes, permutation_index, quality_rules, sharding, suffix_tree_lm, url_filters
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,21 @@ def op8_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_components(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+@query()
+def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "tokens")
+
+
+@query()
+def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op4_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = neighbour_votes.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("row.doc_id", "held_out", "score", "predicted")
