@@ -27,6 +27,10 @@ def default_quality(text: Column, size: Column) -> Column:
     return F.greatest(F.lit(0.25), (size + 1) / (size + 1 + 10 * count_chars(text, SYMBOLS)))
 
 
+def text_digest(text: Column) -> Column:
+    return F.substring(F.md5(text_or_empty(text)), 1, 16)
+
+
 def source_targets(sizes: DataFrame) -> DataFrame:
     """source, source_size, target from (source, source_size): weighted shares of the sum, none above 3 sizes.
 
@@ -52,7 +56,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0,
         quality=default_quality) -> DataFrame:
-    """One row per document: doc_id, size (words), source, source_size, target, copies, taken.
+    """One row per document: doc_id, size (words), source, source_size, target, copies, taken, and the text digest.
 
     ``copies`` is how often the mix takes the document whole, ``taken = size * copies``. The document at
     which the running sum crosses the budget is taken if that brings the source nearer to its target,
@@ -62,7 +66,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     """
     size = count_words(F.col(text))
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), size.alias("size"),
-                        quality(text_or_empty(F.col(text)), size).alias("weight"), F.substring(F.md5(text_or_empty(F.col(text))), 1, 16).alias("digest"))
+                        quality(text_or_empty(F.col(text)), size).alias("weight"), text_digest(F.col(text)).alias("digest"))
     u = (hash32(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "digest") + 0.5) / float(1 << 32)
     keyed = plain.withColumn("key", -F.log(u) / F.coalesce("weight", F.lit(0.25)))
     order = ["key", "doc_id", "digest", "size"]

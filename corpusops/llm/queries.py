@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, mixing, neighbour_votes, permutation_index, quality_rules, sharding, suffix_tree_lm, url_filters
+from . import (jaccard_join, mixing, neighbour_votes, permutation_index, quality_rules, quotation_links, sentence_pieces,
+               sharding, suffix_tree_lm, url_filters)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +138,41 @@ def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = neighbour_votes.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("row.doc_id", "held_out", "score", "predicted")
+
+
+def quoting_mail(conversations: DataFrame) -> DataFrame:
+    """The conversations as mail threads: each message quotes the one before, and above it the one before that, one level deeper."""
+    texts = conversations.groupBy("conv_id", "turn").agg(F.max("text").alias("text"))
+
+    def earlier(n: int) -> DataFrame:
+        return texts.select("conv_id", (F.col("turn") + n).alias("turn"), F.regexp_replace("text", r"(?m)^", ">" * n + " ").alias(f"q{n}"))
+
+    return (conversations.join(earlier(1), ["conv_id", "turn"], "left").join(earlier(2), ["conv_id", "turn"], "left")
+            .select("conv_id", "turn", "role", F.concat_ws("\n", "q2", "q1", "text").alias("text")))
+
+
+@query(r"""WITH lines AS (SELECT DISTINCT conv_id, turn, lower(l) AS l FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS l FROM conversations)
+    WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+sizes AS (SELECT conv_id, turn, count(*) AS n FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS l FROM conversations)
+    WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY ALL),
+linked AS (SELECT c.conv_id, c.turn, role, text, p.n AS n1, g.n AS n2 FROM conversations c
+    LEFT JOIN sizes p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1 LEFT JOIN sizes g ON g.conv_id = c.conv_id AND g.turn = c.turn - 2)
+SELECT conv_id, turn, role, text, CASE WHEN n1 > 0 THEN turn - 1 END AS reply_to, min(turn) OVER (PARTITION BY conv_id) AS thread,
+  (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::BIGINT AS position,
+  CASE WHEN n2 > 0 THEN 2 WHEN n1 > 0 THEN 1 ELSE 0 END AS quote_levels, (coalesce(n1, 0) + coalesce(n2, 0))::BIGINT AS quoted_lines,
+  (coalesce(n1, 0) + coalesce(n2, 0))::BIGINT AS linked_lines FROM linked""")
+def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotation_links.link(quoting_mail(table(spark, sf_dir, "conversations")))
+
+
+#: a public BPE vocabulary with byte fallback; the path is a parameter of the operator
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query()
+def op7_max_plus_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pieces = sentence_pieces.encode(docs.select("doc_id", "text"), PIECES)
+    decoded = sentence_pieces.decode(pieces, PIECES)
+    return decoded.select(F.col("key").alias("doc_id"), F.size("pieces").cast("long").alias("n_pieces"), "pieces",
+                          F.xxhash64("pieces").alias("pieces_hash"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
