@@ -28,6 +28,8 @@ from .tokens import mix, shingle_sets
 
 #: cells of the counting table (a megabyte; it orders shingles and decides nothing), bits of a bitmap
 CELLS, BITS = 1 << 18, 512
+#: up to so many ids (about 20 MB) the texts to verify are picked by a broadcast join, beyond by a shuffle join
+BROADCAST_IDS = 1_000_000
 WORDS64 = BITS // 64
 
 
@@ -161,31 +163,37 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
         _post(width, percent, order), "doc_id long, node long, n long, posts array<long>, bits array<long>").where("n > 0"))
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent * 1.003))).cast("int")
     posted = stage(posted.select("node", "n", "bits", band.alias("band"), "posts"), "shingle-posts")
-    flat = (posted.select("node", "band", F.explode("posts").alias("shingle"))
-            .select("node", "band", "shingle", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("tile")))
+    flat = posted.select("node", "band", F.explode("posts").alias("shingle"))
+    # most shingles are posted once: counting them alone moves one number each, and only the others get tiles
+    often = flat.groupBy(F.col("shingle").alias("s")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("s")
+    flat = stage(flat.join(often, F.col("shingle") == F.col("s"), "left_semi")
+                 .select("node", "band", "shingle", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("tile")), "shingle-shared")
     shared = (flat.groupBy("shingle", "tile").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
               .select(F.col("shingle").alias("s"), F.col("tile").alias("t"), "least"))
     tiles = stage(flat.join(shared, (F.col("shingle") == F.col("s")) & (F.col("tile") == F.col("t")))
                   .select("node", "band", "shingle", "tile", "least"), "shingle-tiles")
     bits = posted.select("node", "n", "bits").dropDuplicates(["node"])
 
-    wanted = tiles.select("node").distinct().join(classes, "node").select(F.col("class_id").alias("id")).distinct()
-    arrays = plain.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_arrays(width), "node long, shingles array<long>")
-    arrays = stage(arrays.dropDuplicates(["node"]), "shingle-arrays")
-
     def side(name: str) -> DataFrame:
         return bits.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Links among candidate pairs (a, b) that passed the bitmaps."""
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        """Links among candidate pairs (a, b) that passed the bitmaps; only their texts are made into arrays again."""
+        pairs = stage(pairs, f"{name}-pairs")
+        wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
+        wanted = stage(wanted.join(classes, F.col("w") == F.col("node")).select(F.col("class_id").alias("id")).distinct(), f"{name}-wanted")
+        if wanted.count() <= BROADCAST_IDS:  # else the join moves the texts by id
+            wanted = F.broadcast(wanted)
+        arrays = plain.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_arrays(width), "node long, shingles array<long>")
+        arrays = stage(arrays.dropDuplicates(["node"]), f"{name}-arrays")
         x = arrays.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
         y = arrays.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+        return stage(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), f"{name}-links")
 
     stars = tiles.where("least <> node").groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a"))
     stars = stars.join(side("a"), "a").join(side("b"), "b").where(
         _may_link(F.col("n_a"), F.col("bits_a"), F.col("n_b"), F.col("bits_b"), percent)).select("a", "b")
-    links = stage(verified(stars), "star-links")
+    links = verified(stars, "star")
     roots = components(links)
 
     named = (tiles.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
@@ -200,7 +208,7 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
     smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     crossing = left.join(right, (F.col("shingle") == F.col("s2")) & (F.col("tile") == F.col("t2")) & (F.col("ra") != F.col("rb"))
                          & smaller & _may_link(F.col("na"), F.col("ba"), F.col("nb"), F.col("bb"), percent)).select("a", "b").distinct()
-    links = stage(verified(crossing), "cross-links").union(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")))
+    links = verified(crossing, "cross").union(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")))
     roots = components(links)
 
     named = classes.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
