@@ -52,4 +52,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{work_dir(df.sparkSession)}/stage-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stage_path = path
+    return out
+
+
+def drop_stages(*staged: DataFrame) -> None:
+    """Delete tables that ``stage`` wrote, once all that is derived from them has been written itself."""
+    for df in staged:
+        spark, path = df.sparkSession, vars(df)["stage_path"]
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
