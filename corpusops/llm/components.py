@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import drop_stages, stage
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -29,10 +29,12 @@ def components(links: DataFrame) -> DataFrame:
     Self links are ignored, repeated links count once, an empty table gives no rows.
     """
     state = None
-    links = stage(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    links = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    staged = stage(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    links = staged.select(F.col("b").alias("a"), F.col("a").alias("b"))
     while True:
-        links = stage(_star(_star(links, True), False), "stars")
+        before, links = staged, stage(_star(_star(links, True), False), "stars")
+        drop_stages(before)
+        staged = links
         now = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == state:
             break

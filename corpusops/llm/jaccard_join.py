@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import drop_stages, stage
 from .components import components
 from .tokens import mix, shingle_sets
 
@@ -172,7 +172,9 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
               .select(F.col("shingle").alias("s"), F.col("tile").alias("t"), "least"))
     tiles = stage(flat.join(shared, (F.col("shingle") == F.col("s")) & (F.col("tile") == F.col("t")))
                   .select("node", "band", "shingle", "tile", "least"), "shingle-tiles")
-    bits = posted.select("node", "n", "bits").dropDuplicates(["node"])
+    drop_stages(flat)
+    bits = stage(posted.select("node", "n", "bits").dropDuplicates(["node"]), "shingle-bits")
+    drop_stages(posted)
 
     def side(name: str) -> DataFrame:
         return bits.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
@@ -182,13 +184,14 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
         pairs = stage(pairs, f"{name}-pairs")
         wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
         wanted = stage(wanted.join(classes, F.col("w") == F.col("node")).select(F.col("class_id").alias("id")).distinct(), f"{name}-wanted")
-        if wanted.count() <= BROADCAST_IDS:  # else the join moves the texts by id
-            wanted = F.broadcast(wanted)
-        arrays = plain.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_arrays(width), "node long, shingles array<long>")
+        few = wanted.count() <= BROADCAST_IDS  # else the join moves the texts by id
+        arrays = plain.join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_arrays(width), "node long, shingles array<long>")
         arrays = stage(arrays.dropDuplicates(["node"]), f"{name}-arrays")
         x = arrays.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
         y = arrays.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        return stage(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), f"{name}-links")
+        links = stage(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), f"{name}-links")
+        drop_stages(pairs, wanted, arrays)
+        return links
 
     stars = tiles.where("least <> node").groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a"))
     stars = stars.join(side("a"), "a").join(side("b"), "b").where(
@@ -205,10 +208,13 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
     left = open_.select(F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("bits").alias("ba"), "shingle", "tile")
     right = open_.where("band = tile").select(F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"),
                                               F.col("bits").alias("bb"), F.col("shingle").alias("s2"), F.col("tile").alias("t2"))
+    drop_stages(tiles)
     smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     crossing = left.join(right, (F.col("shingle") == F.col("s2")) & (F.col("tile") == F.col("t2")) & (F.col("ra") != F.col("rb"))
                          & smaller & _may_link(F.col("na"), F.col("ba"), F.col("nb"), F.col("bb"), percent)).select("a", "b").distinct()
-    links = verified(crossing, "cross").union(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")))
+    crossed = verified(crossing, "cross")
+    drop_stages(open_, bits)
+    links = crossed.union(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")))
     roots = components(links)
 
     named = classes.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
