@@ -1,10 +1,12 @@
 """Approximate nearest neighbours with a permutation index.
 
 Every vector is represented by its nearest pivots in order. Pivots are rows of the table, drawn by hash;
-their number grows with the square root of the table. Vectors are posted under their pivots with the
-rank; a query reads the lists of its own pivots and ranks what it meets by the footrule distance of
-the two orders (a pivot missing from one order counts as rank ``prefix``). The best are reranked by
-exact distance. Equal vectors are one entry of the index and are expanded again at the end.
+their number grows with the square root of the table. The index is cut into blocks of bounded size by
+hash; in a block, vectors are posted under their pivots with the rank. A query reads the lists of its own
+pivots in every block and ranks the block by the footrule distance of the two orders (a pivot missing from
+one order counts as rank ``prefix``); the best are reranked by exact distance, and only the nearest leave
+the block. Queries come in blocks of bounded size too, so a task holds one block of each. Equal vectors are
+one entry of the index and are expanded again at the end.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -20,8 +23,12 @@ from pyspark.sql import functions as F
 from ..session import stage
 
 #: pivots: factor on the square root of the number of distinct vectors, least number; most pivots (a documented
-#: sample: 16,384 pivots of 1,024 dimensions are 64 MB); posted pivots per vector; reranked entries per query
-PIVOT_FACTOR, LEAST_PIVOTS, MOST_PIVOTS, PREFIX, RERANK = 2.0, 64, 16_384, 16, 400
+#: sample: 16,384 pivots of 1,024 dimensions are 128 MB); posted pivots per vector
+PIVOT_FACTOR, LEAST_PIVOTS, MOST_PIVOTS, PREFIX = 2.0, 512, 16_384, 128
+#: reranked per query and block: this part of the block, and no fewer than RERANK
+RERANK_PART, RERANK = 0.1, 400
+#: entries and queries of a block
+BLOCK_ENTRIES, BLOCK_QUERIES = 20_000, 4096
 
 
 def usable(vector) -> "F.Column":
@@ -50,15 +57,37 @@ def _orders(pivots, prefix: int):
     return run
 
 
+def _nearest_in_block(prefix: int, rerank: int, keep: int):
+    def run(entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if entries.empty or queries.empty:
+            return pd.DataFrame({"query_entry": np.zeros(0, np.int64), "entry": np.zeros(0, np.int64)})
+        entries = entries.sort_values("entry")
+        ids, vectors, orders = entries["entry"].to_numpy(), np.stack(entries["vector"]), np.stack(entries["pivots"])
+        posted = np.argsort(orders.ravel(), kind="stable")  # the inverted file: postings by pivot, then by entry
+        who, at = np.divmod(posted, orders.shape[1])
+        lists = np.searchsorted(orders.ravel()[posted], np.arange(max(orders.max(), np.stack(queries["order"]).max()) + 2))
+        best = min(len(ids), max(rerank, int(RERANK_PART * len(ids))))
+        found = []
+        for query, order in zip(queries["query"], queries["order"]):
+            near = np.zeros(len(ids), np.int32)  # the footrule distance is a constant minus twice this
+            for own, pivot in enumerate(order):
+                s, e = lists[pivot], lists[pivot + 1]
+                near[who[s:e]] += prefix - np.maximum(at[s:e], own)
+            top = np.argpartition(-near, best - 1)[:best]
+            distance = ((vectors[top] - query) ** 2).sum(1)
+            found.append(ids[top[np.lexsort((ids[top], distance))[:keep]]])
+        return pd.DataFrame({"query_entry": np.repeat(queries["query_entry"].to_numpy(), [len(f) for f in found]), "entry": np.concatenate(found)})
+    return run
+
+
 def search(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "vec_id", vector: str = "embedding",
            prefix: int = PREFIX, rerank: int = RERANK) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest found of every row whose id is divisible by ``every``.
 
     ``score`` is the Euclidean distance in double precision; ties go to the smaller id. Rows with a null
     id or an unusable vector take no part, nor do rows of another dimension than the most common one
-    of the table. A row is not its own candidate, and rows repeated whole are one row. The query's own
-    pivots are rows of the table and always among its candidates, so all candidates are found where
-    there are fewer than ``k``.
+    of the table. A row is not its own candidate, and rows repeated whole are one row. Blocks of
+    up to ``rerank`` entries are reranked whole, so all candidates are found where there are fewer than ``k``.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("raw"))
@@ -79,14 +108,23 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "vec
         return queries.select("query_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     pivots = spark.sparkContext.broadcast(np.stack(drawn["vector"].to_numpy()).astype(float))
     orders = stage(entries.select("entry", "vector").mapInArrow(_orders(pivots, prefix), "entry long, pivots array<int>"), "index-orders")
-    posts = orders.select("entry", F.posexplode("pivots").alias("at", "pivot"))
-    asked = queries.select("query_entry").distinct()
-    asking = posts.join(asked, F.col("entry") == F.col("query_entry")).select("query_entry", F.col("at").alias("own"), "pivot")
-    # footrule = constant - sum over shared pivots of (2 * prefix - own - at - |own - at|) = constant - 2 * (prefix - max)
-    met = (asking.join(posts, "pivot").groupBy("query_entry", "entry")
-           .agg(F.sum(F.lit(prefix) - F.greatest("own", "at")).alias("near")))
-    place = F.row_number().over(W.partitionBy("query_entry").orderBy(F.desc("near"), "entry"))
-    best = stage(met.withColumn("_place", place).where(F.col("_place") <= rerank).select("query_entry", "entry"), "index-candidates")
+    indexed = entries.join(orders, "entry")
+    asked = queries.select(F.col("query_entry").alias("of")).distinct()
+    parts, turns = -(-count // BLOCK_ENTRIES), max(1, -(-asked.count() // BLOCK_QUERIES))
+
+    def blocks(key: str, n: int):
+        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+    def every_block(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    asking = (indexed.join(asked, F.col("entry") == F.col("of"), "left_semi")
+              .select(F.col("entry").alias("query_entry"), F.col("vector").alias("query"), F.col("pivots").alias("order"))
+              .withColumn("at_turn", blocks("query_entry", turns)).withColumn("at_part", every_block(parts)))
+    sides = (indexed.withColumn("part", blocks("entry", parts)).withColumn("turn", every_block(turns)).groupBy("part", "turn")
+             .cogroup(asking.groupBy("at_part", "at_turn")))
+    # a few more than needed leave a block: the last digits of the distances are summed in another order below
+    best = stage(sides.applyInPandas(_nearest_in_block(prefix, rerank, k + 8), "query_entry long, entry long"), "index-candidates")
     q = entries.select(F.col("entry").alias("query_entry"), F.col("vector").alias("q"))
     squares = F.aggregate(F.zip_with("q", "vector", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
     scored = best.join(entries, "entry").join(q, "query_entry").select("query_entry", "entry", F.sqrt(squares).alias("score"))
