@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,35 +43,42 @@ def _records(opener, content: bytes, sep: str) -> Iterator[list[str]]:
 
 
 def _read(spark: SparkSession, path: str, opener, sep: str) -> DataFrame:
-    files = spark.read.format("binaryFile").load(path).select("content")
+    """Every archive is read by its own header; the columns are those of all headers, in the order of paths.
+
+    Short records are padded, an empty field is null, a column that an archive lacks is null in its rows.
+    A record with more fields than its header is an error that names the file and the record.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def header(batches):
         for batch in batches:
-            for content in batch["content"]:
-                yield pd.DataFrame({"names": [next(_records(opener, content, sep), [])]})
+            for name, content in zip(batch["path"], batch["content"]):
+                yield pd.DataFrame({"path": [name], "names": [next(_records(opener, content, sep), [])]})
 
-    names = files.limit(1).mapInPandas(header, "names array<string>").first()["names"]
+    headers = files.mapInPandas(header, "path string, names array<string>").groupBy("names").agg(F.min("path").alias("path"))
+    names = list(dict.fromkeys(n for row in headers.orderBy("path").collect() for n in row["names"]))  # one row per different header
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
 
     def body(batches):
-        def frame(rows):
-            # short records are padded; an empty field is null
-            fixed = [[v if v != "" else None for v in (r + [""] * len(names))[:len(names)]] for r in rows]
-            return pd.DataFrame(fixed, columns=list(names), dtype=object)
+        def frame(rows, own):
+            place = [own.index(n) if n in own else len(own) for n in names]
+            fixed = [[r[i] if i < len(r) and r[i] != "" else None for i in place] for r in rows]
+            return pd.DataFrame(fixed, columns=names, dtype=object)
 
         for batch in batches:
-            for content in batch["content"]:
+            for file, content in zip(batch["path"], batch["content"]):
                 records = _records(opener, content, sep)
-                next(records, None)
-                rows = []
-                for record in records:
+                own, rows = next(records, []), []
+                for number, record in enumerate(records, 2):
+                    if len(record) > len(own):
+                        raise ValueError(f"{file}: record {number} has {len(record)} fields, the header has {len(own)}")
                     if record:
                         rows.append(record)
                     if len(rows) == BATCH_ROWS:
-                        yield frame(rows)
+                        yield frame(rows, own)
                         rows = []
                 if rows:
-                    yield frame(rows)
+                    yield frame(rows, own)
 
     return files.mapInPandas(body, schema)
 

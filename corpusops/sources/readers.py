@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .archives import read_xz, read_zip
 
@@ -31,9 +32,16 @@ def read_delimited(spark: SparkSession, path: str | list[str], sep: str = SEMICO
     """CSV with header and quoted fields; gzip is decoded by suffix.
 
     Texts hold line breaks, so records may span lines and a file is one task. Files written without
-    line breaks inside fields can be split: pass ``multi_line=False``.
+    line breaks inside fields can be split: pass ``multi_line=False``. Short records are padded with null;
+    a record with more fields than the header is an error that names the file.
     """
-    return spark.read.csv(path, header=True, sep=sep, quote='"', escape='"', multiLine=multi_line, encoding="utf-8")
+    options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": multi_line, "encoding": "utf-8"}
+    names = spark.read.csv(path, **options).columns
+    more = "_more" + "_" * max([0, *map(len, names)])  # takes the first field too many
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, more]])
+    rows = spark.read.schema(schema).csv(path, **options)
+    lost = F.raise_error(F.concat(F.lit("a record has more fields than the header: "), F.input_file_name()))
+    return rows.where(F.when(F.col(f"`{more}`").isNull(), True).otherwise(lost.cast("boolean"))).drop(more)
 
 
 def sniff_separator(spark: SparkSession, path: str, candidates: tuple[str, ...] = (SEMICOLON, COMMA)) -> str:

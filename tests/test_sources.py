@@ -58,6 +58,31 @@ def test_archive_is_read_in_batches_with_short_rows_and_nulls(spark, tmp_path):
     assert df.count() == 9001 and df.where("b is null").count() == 9001 and df.where("a = 'last'").count() == 1
 
 
+def test_archives_are_read_by_their_own_headers(spark, tmp_path):
+    for name, data in (("a.zip", "x;y\n1;2\n"), ("b.zip", "y;x;z\n9;8;7\n5\n")):
+        with zipfile.ZipFile(tmp_path / name, "w") as z:
+            z.writestr("t.csv", data)
+    df = R.read_zip(spark, str(tmp_path / "*.zip"))
+    assert df.columns == ["x", "y", "z"]
+    assert {tuple(r) for r in df.collect()} == {("1", "2", None), ("8", "9", "7"), (None, "5", None)}
+
+
+@pytest.mark.parametrize("name", ["n.csv", "n.csv.gz", "n.zip", "n.xz"])
+def test_surplus_fields_are_an_error(spark, tmp_path, name):
+    sep = "\t" if name.endswith(".xz") else ";"
+    data = "x;y\n1;2;LOST\n3\n".replace(";", sep).encode()
+    path = str(tmp_path / name)
+    if name.endswith(".zip"):
+        with zipfile.ZipFile(path, "w") as z:
+            z.writestr("t.csv", data)
+    else:
+        opener = gzip.open if name.endswith(".gz") else lzma.open if name.endswith(".xz") else open
+        with opener(path, "wb") as f:
+            f.write(data)
+    with pytest.raises(Exception, match="more fields|has 3 fields"):
+        R.read_news(spark, path).count()
+
+
 def test_unreadable_sources(spark, tmp_path):
     path = str(tmp_path / "empty.zip")
     with zipfile.ZipFile(path, "w") as z:
