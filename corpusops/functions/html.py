@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import sys
-from html.entities import name2codepoint
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -18,31 +18,63 @@ from . import patterns as P
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # fixed values: HTML syntax
-_ANCHOR = r"(?is)<a\s[^>]*>.*?</a\s*>|<a\s[^>]*>(?!.*</a)"
-_HREF = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_TAG_REST = r"""(?:[^>"']++|"[^"]*"|'[^']*')*+>"""
+_ANCHOR = rf"(?is)<a\s{_TAG_REST}.*?</a\s*>|<a\s{_TAG_REST}(?!.*</a)"
+_HREF = r"""(?is)^<a(?:[^>"']*(?:"[^"]*"|'[^']*'))*?[^>"']*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 _NO_MARKUP = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
-_ANY_TAG = r"(?s)<!--.*?-->|<[^>]*>"
-_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+_ANY_TAG = rf"(?s)<!--.*?-->|<[/!?A-Za-z]{_TAG_REST}|<[^>]*>"
+_NUMBER = "#[0-9]++;?|#[xX][0-9a-fA-F]++;?"
+_ENTITY = f"&(?:{_NUMBER}|[A-Za-z][A-Za-z0-9]*+;?)"
+#: in attribute values a name without semicolon that ``=`` follows is a parameter of a query
+_ATTRIBUTE_ENTITY = f"&(?:{_NUMBER}|[A-Za-z][A-Za-z0-9]*+(?:;|(?!=)))"
+#: names that are known without a semicolon too, longest first
+_LOOSE = "^(?:" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+_COMMON = ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;")
+_LAST, _REPLACEMENT = 0x10FFFF, 0xFFFD
 
 
-def unescape(text: Column) -> Column:
-    """Decode numeric and named (HTML 4) character references."""
-    names = F.create_map(*[F.lit(v) for name, code in sorted(name2codepoint.items()) for v in (name, chr(code))])
+def _names() -> Column:
+    """Map of the HTML 5 names, common ones first as a look-up goes through it from the start."""
+    names = dict.fromkeys([*_COMMON, *sorted(html5)])
+    return F.str_to_map(F.lit("\ue001".join(f"{n}\ue000{html5[n]}" for n in names)), F.lit("\ue001"), F.lit("\ue000"))
 
-    def char(code_hex: Column) -> Column:
-        return F.decode(F.unhex(F.lpad(code_hex, 8, "0")), "UTF-32")
+
+def _numbered(body: Column) -> Column:
+    """Character of ``#123`` or ``#x7B``; U+FFFD for zero, surrogates and numbers above the last code point.
+
+    Numbers from 128 to 159 mean what they mean in Windows-1252, where that has a character.
+    """
+    is_hex = body.rlike("^#[xX]")
+    digits = F.regexp_replace(body, "^#[xX]?0*|;$", "")
+    short = F.length(digits) <= F.when(is_hex, 6).otherwise(7)
+    code = F.when(short, F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int"))
+    code = F.coalesce(F.when((code > 0) & (code <= _LAST) & ~code.between(0xD800, 0xDFFF), code), F.lit(_REPLACEMENT))
+    windows = F.array(*[F.lit(ord(bytes([i]).decode("cp1252", "ignore") or chr(i))) for i in range(128, 160)])
+    code = F.when(code.between(128, 159), F.get(windows, code - 128)).otherwise(code)
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+
+def unescape(text: Column, attribute: bool = False) -> Column:
+    """Decode numeric and named (HTML 5) character references; what is no reference stays.
+
+    Some names count without semicolon: in text also as the beginning of a longer word, in an ``attribute``
+    only where no letter, digit or ``=`` follows.
+    """
+    pattern = _ATTRIBUTE_ENTITY if attribute else _ENTITY
+
+    def named(body: Column) -> Column:
+        whole = F.try_element_at(_names(), body)
+        if attribute:
+            return whole
+        loose = F.regexp_extract(body, _LOOSE, 0)
+        return F.coalesce(whole, F.when(loose != "", F.concat(F.try_element_at(_names(), loose), body.substr(F.length(loose) + 1, F.length(body)))))
 
     def decoded(entity: Column) -> Column:
-        body = entity.substr(F.lit(2), F.length(entity) - 2)
-        return F.coalesce(
-            F.when(body.rlike("^#[xX]"), char(body.substr(F.lit(3), F.length(body))))
-            .when(body.startswith("#"), char(F.conv(body.substr(F.lit(2), F.length(body)), 10, 16)))
-            .otherwise(F.try_element_at(names, body)),
-            entity,
-        )
-
-    found = F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)), decoded)
-    between = F.split(text, _ENTITY, -1)
+        body = entity.substr(F.lit(2), F.length(entity))
+        return F.coalesce(F.when(body.startswith("#"), _numbered(body)).otherwise(named(body)), entity)
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), decoded)
+    between = F.split(text, pattern, -1)
     joined = F.array_join(
         F.zip_with(between, found, lambda gap, c: F.concat(F.coalesce(gap, F.lit("")), F.coalesce(c, F.lit("")))), ""
     )
@@ -56,7 +88,7 @@ def anchors(html: Column | str) -> Column:
 
     def parts(a: Column) -> Column:
         href = F.concat(*[F.regexp_extract(a, _HREF, i) for i in (1, 2, 3)])
-        return F.struct(unescape(href).alias("link"), unescape(F.regexp_replace(a, _ANY_TAG, "")).alias("text"))
+        return F.struct(unescape(href, attribute=True).alias("link"), unescape(F.regexp_replace(a, _ANY_TAG, "")).alias("text"))
 
     return F.transform(raw, parts)
 

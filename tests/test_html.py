@@ -14,6 +14,10 @@ MESSAGE = '<div class="tgme_widget_message_text js-message_text">'
     ('<!-- <a href="no">x</a> --><script>"<a href=\'no\'>"</script><a href="">p</a>', [("", "p")]),
     ('<a data-href="no">x</a>', []),
     ('<a href="x">line\nbreak</a>', [("x", "line\nbreak")]),
+    ('<a title="a>b" href="/x">t</a>', [("/x", "t")]),
+    ("<a title=' href=no' href=/x>t<img alt='>'></a>", [("/x", "t")]),
+    ('<a href="?a=1&copy=2&amp=3&lt;">&copy 1 &notit; &apos;&check;</a>', [("?a=1&copy=2&amp=3<", "© 1 ¬it; '✓")]),
+    ('<a href="">&#9999999;&#xD800;&#0;&#150;&#00000065;&#x41 &#99999999999999999999;&#;&</a>', [("", "���–AA �&#;&")]),
     ("", []),
     (None, None),
 ])
