@@ -266,6 +266,29 @@ def test_rules_reject_only_what_the_holdout_allows(spark):
     assert all(r.kept != r.base_failed for r in quality_rules.judge(docs, labels.limit(0)).collect())
 
 
+def test_rules_reject_on_a_given_table(spark):
+    folder = "/root/testdata/sf0.1/"
+    known = spark.read.parquet(folder + "labels.parquet").where("quality IS NOT NULL")
+    docs = spark.read.parquet(folder + "documents.parquet").join(known.select("doc_id").distinct(), "doc_id")
+    bad = {r.doc_id for r in known.where("quality = 0").collect()}
+    got = [r for r in quality_rules.judge(docs, known).collect() if not r.base_failed]
+    assert {r.doc_id for r in got if not r.kept} >= {r.doc_id for r in got if r.doc_id in bad} != set()
+    for lang in {r.stratum for r in got}:
+        good = [r.kept for r in got if r.stratum == lang and r.doc_id not in bad]
+        assert good.count(False) <= 0.01 * len(good), lang
+
+
+def test_small_strata_use_the_pooled_step(spark):
+    good = [(i, prose(i, 90), "en" if i < 600 else "fr" if i < 640 else None) for i in range(660)]
+    bad = [(5000 + i, " ".join("### " + w for w in prose(i, 90).split()), ["en", "fr", None, "unseen"][i]) for i in range(4)]
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i, _, _ in good], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality_rules.judge(docs, labels).collect()}
+    assert not any(got[d].kept for d, _, _ in bad) and sum(not got[d].kept for d, _, _ in good if not got[d].base_failed) <= 6
+    few = labels.where("doc_id < 100")
+    assert all(r.kept != r.base_failed for r in quality_rules.judge(docs, few).collect())
+
+
 def test_rules_awkward_rows(spark):
     docs = awkward(spark)
     got = quality_rules.judge(docs, no_labels(spark), carry=docs.columns)
