@@ -294,10 +294,13 @@ def _escaped(text, dummy: bool):
 
 
 def chunks(docs: DataFrame, model: dict, key: str, text: str, chunk: int, margin: int) -> DataFrame:
-    """key, chunk, chunks, lead, size, part: slices of the escaped text with ``margin`` characters on either side."""
+    """key, digest, chunk, chunks, lead, size, part: slices of the escaped text with ``margin`` characters on either side.
+
+    ``digest`` is the SHA-256 of a text of several chunks, null for others.
+    """
     whole = docs.select(F.col(key).alias("key"), _escaped(F.coalesce(F.col(text).cast("string"), F.lit("")), model["dummy"]).alias("t"))
     n = F.greatest(F.lit(1), F.ceil(F.length("t") / chunk)).cast("int")
-    whole = whole.withColumn("chunks", n)
+    whole = whole.withColumn("chunks", n).withColumn("digest", F.when(F.col("chunks") > 1, F.sha2("t", 256)))
 
     def cut(i):
         start = i * chunk
@@ -305,14 +308,14 @@ def chunks(docs: DataFrame, model: dict, key: str, text: str, chunk: int, margin
         return F.struct(i.alias("chunk"), lead.alias("lead"), F.greatest(F.lit(0), F.least(F.lit(chunk), F.length("t") - start)).alias("size"),
                         F.when(F.col("chunks") == 1, F.col("t")).otherwise(F.substring("t", start - lead + 1, lead + chunk + margin)).alias("part"))
 
-    return whole.select("key", "chunks", F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), cut)).alias("c")).select("key", "chunks", "c.*")
+    return whole.select("key", "digest", "chunks", F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), cut)).alias("c")).select("key", "digest", "chunks", "c.*")
 
 
 def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", chunk: int = CHUNK, model: dict | None = None) -> DataFrame:
     """One row per document: key and ``pieces``, the piece numbers in order.
 
-    A null or empty text has no pieces. Keys are taken as they are; rows with equal keys must hold equal
-    texts if they are longer than a chunk (they are encoded once and returned as often as they occur).
+    A null or empty text has no pieces. Keys are taken as they are and may be null or repeated: a text longer
+    than a chunk is identified by its key and digest, encoded once and returned as often as it occurs.
     Characters outside the vocabulary become byte pieces if the model has them, else the unknown piece.
     """
     spark = docs.sparkSession
@@ -333,39 +336,41 @@ def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
                 for part, lead, size, i, j in zip(*cols):
                     flat.extend(lattice.encode(part, lead, lead + size, i, j) if size else [])
                     ends.append(len(flat))
-                yield pa.RecordBatch.from_arrays([rows["key"], rows["chunks"], rows["chunk"], pa.ListArray.from_arrays(
+                yield pa.RecordBatch.from_arrays([rows["key"], rows["digest"], rows["chunks"], rows["chunk"], pa.ListArray.from_arrays(
                     pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32)))],
-                    ["key", "chunks", "chunk", "pieces"])
+                    ["key", "digest", "chunks", "chunk", "pieces"])
 
-    traced = f"key {kind}, chunks int, chunk int, pieces array<int>"
+    traced = f"key {kind}, digest string, chunks int, chunk int, pieces array<int>"
     cut = chunks(docs, model, key, text, chunk, margin)
-    one = cut.where("chunks = 1").select("key", "chunks", "chunk", "lead", "size", "part", F.lit(0).alias("i"), F.lit(0).alias("j"))
+    one = cut.where("chunks = 1").select("key", "digest", "chunks", "chunk", "lead", "size", "part", F.lit(0).alias("i"), F.lit(0).alias("j"))
     short = one.mapInArrow(trace, traced).select("key", "pieces")
 
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(shared)
         for batch in batches:
             found = [lattice.matrix(p, a, a + n) for p, a, n in zip(*[batch[c].to_pylist() for c in ("part", "lead", "size")])]
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["chunk"], pa.array([e.ravel().tolist() for e, _ in found], pa.list_(pa.float64())),
+            yield pa.RecordBatch.from_arrays([batch["key"], batch["digest"], batch["chunk"], pa.array([e.ravel().tolist() for e, _ in found], pa.list_(pa.float64())),
                                               pa.array([None if x is None else x.tolist() for _, x in found], pa.list_(pa.float64())),
-                                              pa.array([len(e) for e, _ in found], pa.int32())], ["key", "chunk", "enter", "leave", "rows"])
+                                              pa.array([len(e) for e, _ in found], pa.int32())], ["key", "digest", "chunk", "enter", "leave", "rows"])
 
     def scan(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("chunk")
         matrices = [(np.array(e, float).reshape(n, -1) if x is None else np.array(e, float), None if x is None else np.array(x, float))
                     for e, x, n in zip(group["enter"], group["leave"], group["rows"])]
         inner = boundary_states(matrices)
-        return pd.DataFrame({"key": group["key"], "chunk": group["chunk"], "i": [0, *inner], "j": [*inner, 0]})
-
-    many = cut.where("chunks > 1").repartition("key", "chunk").dropDuplicates(["key", "chunk"])
-    states = (many.select("key", "chunk", "lead", "size", "part").mapInArrow(transfer, f"key {kind}, chunk int, enter array<double>, leave array<double>, rows int")
-              .groupBy("key").applyInPandas(scan, f"key {kind}, chunk int, i int, j int")
-              .select(F.col("key").alias("of"), F.col("chunk").alias("at"), "i", "j"))
-    placed = many.join(states, F.col("key").eqNullSafe(F.col("of")) & (F.col("chunk") == F.col("at")))
-    long = placed.select("key", "chunks", "chunk", "lead", "size", "part", "i", "j").mapInArrow(trace, traced)
-    long = long.groupBy("key").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "pieces"))), lambda x: x["pieces"])).alias("pieces"))
-    times = cut.where("chunks > 1 AND chunk = 0").groupBy(F.col("key").alias("of")).agg(F.count(F.lit(1)).alias("n"))
-    long = (long.join(times, F.col("key").eqNullSafe(F.col("of"))).select("key", "pieces", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_"))
+        return pd.DataFrame({"key": group["key"], "digest": group["digest"], "chunk": group["chunk"], "i": [0, *inner], "j": [*inner, 0]})
+
+    many = cut.where("chunks > 1").repartition("key", "digest", "chunk").dropDuplicates(["key", "digest", "chunk"])
+    states = (many.select("key", "digest", "chunk", "lead", "size", "part")
+              .mapInArrow(transfer, f"key {kind}, digest string, chunk int, enter array<double>, leave array<double>, rows int")
+              .groupBy("key", "digest").applyInPandas(scan, f"key {kind}, digest string, chunk int, i int, j int")
+              .select(F.col("key").alias("of"), F.col("digest").alias("of_text"), F.col("chunk").alias("at"), "i", "j"))
+    same = F.col("key").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_text"))
+    placed = many.join(states, same & (F.col("chunk") == F.col("at")))
+    long = placed.select("key", "digest", "chunks", "chunk", "lead", "size", "part", "i", "j").mapInArrow(trace, traced)
+    long = long.groupBy("key", "digest").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "pieces"))), lambda x: x["pieces"])).alias("pieces"))
+    times = cut.where("chunks > 1 AND chunk = 0").groupBy(F.col("key").alias("of"), F.col("digest").alias("of_text")).agg(F.count(F.lit(1)).alias("n"))
+    long = (long.join(times, same).select("key", "pieces", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_"))
             .select("key", "pieces"))
     return short.union(long)
 

@@ -183,6 +183,17 @@ def test_pieces_awkward_rows(spark):
     assert by[0] == by[1] == [] and by[7] == plain_pieces([LONG])[0]
 
 
+def test_long_texts_with_equal_keys_stay_apart(spark):
+    long = [prose(20 + i, 60 + 15 * i) for i in range(4)]
+    rows = [(None, long[0]), (None, long[1]), (7, long[2]), (7, long[3]), (7, long[3]), (7, "short")]
+    got = sentence_pieces.encode(spark.createDataFrame(rows, "doc_id long, text string"), PIECES, chunk=64).collect()
+    want = plain_pieces([t for _, t in rows])
+    assert sorted((r.key or 0, list(r.pieces)) for r in got) == sorted((k or 0, p) for (k, _), p in zip(rows, want))
+    keyed = spark.createDataFrame(rows, "doc_id long, text string").select(F.struct("doc_id").alias("key"), "text")
+    got = sentence_pieces.encode(keyed, PIECES, key="key", chunk=64).collect()
+    assert sorted(list(r.pieces) for r in got) == sorted(want)
+
+
 # the flow -------------------------------------------------------------------------------------------
 
 
