@@ -6,7 +6,7 @@ lost executor repeats tasks of one stage only. All but the last return the colum
 further columns come along.
 
 Nulls, empty texts and tables, repeated rows: see the operators. Rows without a doc_id are judged,
-mixed and encoded like others; the near-duplicate stage keeps them all, as it has no id to decide by.
+compared, mixed and encoded like others.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusops.llm import jaccard_join, mixing, neighbour_votes, quality_rules, sentence_pieces
-from corpusops.llm.common import table
+from corpusops.llm.common import count_words, table
 from corpusops.llm.queries import PIECES
 from corpusops.session import stage
 
@@ -36,11 +36,20 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, once."""
-    found = jaccard_join.linked_components(docs, SHINGLE_WORDS, SIMILARITY)
-    first = found.where("component_id = doc_id").select(F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("first_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.union(docs.where("doc_id IS NULL"))
+    """One document of each group of near duplicates, once: that with the smallest id, then the smallest digest.
+
+    Rows without an id come after those with one, and different texts under one id are different documents.
+    Texts without a word stand alone; those without an id are all kept.
+    """
+    found = jaccard_join.linked_components(docs, SHINGLE_WORDS, SIMILARITY, nodes=True)
+    linked = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("first"))
+    first = linked.select("first.doc_id", "first.digest").union(
+        found.where("component IS NULL AND doc_id IS NOT NULL").select("doc_id", "digest").distinct())
+    first = first.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_first"))
+    own = docs.withColumn("_digest", jaccard_join.text_digest(F.col("text").cast("string")))
+    kept = own.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_first")), "left_semi")
+    kept = kept.dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
+    return kept.union(docs.where(F.col("doc_id").isNull() & (count_words("text") == 0)))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,10 @@ BROADCAST_IDS = 1_000_000
 WORDS64 = BITS // 64
 
 
+def text_digest(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
 def digest(shingles: np.ndarray) -> int:
     """64-bit number of a set, from its sorted hashes."""
     if not len(shingles):
@@ -51,7 +55,7 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _measure(width: int):
+def _measure(width: int, extra: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, np.int64)
         for batch in batches:
@@ -63,12 +67,12 @@ def _measure(width: int):
                 if len(s) <= CELLS // 8:
                     np.add.at(cells, (s & np.uint64(CELLS - 1)).astype(np.int64), 1)
             yield pa.RecordBatch.from_arrays([pa.array([None] * len(sizes), pa.int64()), batch["doc_id"].cast(pa.int64()),
-                                              pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())], ["cell", "doc_id", "node", "n"])
+                                              pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), *[batch[c] for c in extra]], ["cell", "doc_id", "node", "n", *extra])
         used = np.flatnonzero(cells)
         for at in range(0, len(used), 1 << 16):
             part = used[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int64()),
-                                              pa.array(cells[part])], ["cell", "doc_id", "node", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int64()), pa.array(cells[part]),
+                                              *[pa.nulls(len(part), pa.int64()) for _ in extra]], ["cell", "doc_id", "node", "n", *extra])
     return run
 
 
@@ -136,18 +140,23 @@ def _may_link(n1: Column, bits1: Column, n2: Column, bits2: Column, percent: int
     return enough & (100 * overlap >= percent * (2 * (n1 + n2) - overlap))
 
 
-def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text",
+                      nodes: bool = False) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id that links reach), class_id (equal sets).
 
     Words are split at ASCII white space after lower-casing A-Z. Two documents link if the Jaccard
     similarity of their shingle sets is at least ``percent`` / 100. Null texts and texts without a word
     have an empty set and stand alone; rows with the same id and text are one document and both returned.
-    Rows with a null id get a null component unless linked. Texts of any length are used whole.
+    Rows with a null id get a null component unless linked to an id; they link others like any row. Texts
+    of any length are used whole. ``nodes`` adds what tells rows apart without ids: digest (``text_digest``
+    of the text) and component (a number of the component; null for an empty set).
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    measured = stage(plain.mapInArrow(_measure(width), "cell long, doc_id long, node long, n long"), "shingle-sizes")
-    rows = measured.where("cell IS NULL").select("doc_id", "node", "n")
+    extra = ["digest"] if nodes else []
+    digested = plain.withColumn("digest", text_digest(F.col("text"))) if nodes else plain
+    measured = stage(digested.mapInArrow(_measure(width, extra), ", ".join(f"{c} long" for c in ["cell", "doc_id", "node", "n", *extra])), "shingle-sizes")
+    rows = measured.where("cell IS NULL").drop("cell")
     counts = np.zeros(CELLS, np.int64)
     for r in measured.where("cell IS NOT NULL").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():  # at most CELLS rows
         counts[r[0]] = r[1]
@@ -183,9 +192,12 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
         """Links among candidate pairs (a, b) that passed the bitmaps; only their texts are made into arrays again."""
         pairs = stage(pairs, f"{name}-pairs")
         wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
-        wanted = stage(wanted.join(classes, F.col("w") == F.col("node")).select(F.col("class_id").alias("id")).distinct(), f"{name}-wanted")
+        wanted = stage(wanted.join(classes, F.col("w") == F.col("node")).select("w", F.col("class_id").alias("id")), f"{name}-wanted")
+        ids = wanted.select("id").distinct()
         few = wanted.count() <= BROADCAST_IDS  # else the join moves the texts by id
-        arrays = plain.join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_arrays(width), "node long, shingles array<long>")
+        # an id may be null or stand for several texts, so the node decides which arrays stay
+        arrays = plain.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").mapInArrow(_arrays(width), "node long, shingles array<long>")
+        arrays = arrays.join(wanted.select("w"), F.col("node") == F.col("w"), "left_semi")
         arrays = stage(arrays.dropDuplicates(["node"]), f"{name}-arrays")
         x = arrays.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
         y = arrays.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
@@ -220,7 +232,7 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
     named = classes.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
         "node", "class_id", F.coalesce("root", "node").alias("root"))
     ids = named.groupBy(F.col("root").alias("r")).agg(F.min("class_id").alias("component_id"))
-    found = named.join(ids, F.col("root") == F.col("r")).select(F.col("node").alias("of"), "class_id", "component_id")
+    found = named.join(ids, F.col("root") == F.col("r")).select(F.col("node").alias("of"), "class_id", "component_id", F.col("root").alias("component"))
     return (rows.join(found, (F.col("node") == F.col("of")) & (F.col("n") > 0), "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
-                    F.coalesce("class_id", "doc_id").alias("class_id")))
+                    F.coalesce("class_id", "doc_id").alias("class_id"), *extra, *(["component"] if nodes else [])))

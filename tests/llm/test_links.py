@@ -231,3 +231,13 @@ def test_stages_awkward_rows(spark, tmp_path):
         assert out.columns == docs.columns and out.count() <= 3 * docs.count(), name
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
+def test_near_duplicates_without_unique_ids(spark):
+    base = prose(40, 210).split()
+    a, n, b = (" ".join(base[i:i + 180]) for i in (0, 12, 24))  # a ~ n ~ b at 80 %, a and b do not link
+    other = prose(41, 90)
+    rows = [(1, a), (2, b), (None, n), (1, other), (None, prose(42, 90)), (None, prose(42, 90)), (None, ""), (3, other + " end")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.duplicates_stage(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(1, a), (1, other), (0, prose(42, 90)), (0, "")])
