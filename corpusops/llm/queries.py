@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (jaccard_join, mixing, neighbour_votes, permutation_index, quality_rules, quotation_links, sentence_pieces,
-               sharding, suffix_tree_lm, url_filters)
+from . import (html_main_text, jaccard_join, merkle_manifest, mixing, neighbour_votes, periodic_runs, permutation_index, quality_rules,
+               quotation_links, sentence_pieces, sharding, suffix_tree_lm, url_filters)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,62 @@ def op7_max_plus_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = sentence_pieces.decode(pieces, PIECES)
     return decoded.select(F.col("key").alias("doc_id"), F.size("pieces").cast("long").alias("n_pieces"), "pieces",
                           F.xxhash64("pieces").alias("pieces_hash"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
+@query()
+def op11_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", periodic_runs.made_periodic("doc_id", "text").alias("text"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs, carry=["doc_id"]))
+
+
+def _merkle_sql(width: int = 8, inner: int = 8, top: int = 8) -> str:
+    """Levels one by one: enough for ``width ** inner`` rows of a language and ``width ** top`` languages."""
+    crc = """xor(4294967295::BIGINT, list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+      lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)))"""
+
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join([*(field(f"{c}::VARCHAR") for c in ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"""WITH leaves AS (SELECT doc_id, lang, {leaf('text')} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} END AS changed FROM documents),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r FROM leaves),
+a0 AS (SELECT lang, r, leaf AS d, count(*) OVER (PARTITION BY lang) AS n FROM numbered),
+p0 AS (SELECT doc_id, lang, r, leaf, coalesce(changed, leaf) AS x, '' AS proof FROM numbered)"""]
+
+    def climb(a: str, p: str, key: str, rank: str, levels: int) -> None:
+        for k in range(levels):
+            of = f"PARTITION BY {key}, r // {width}"
+            parts.append(f"""{a}s{k} AS (SELECT {key}, r, d, n, coalesce(string_agg(d, '') OVER ({of} ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+  coalesce(string_agg(d, '') OVER ({of} ORDER BY r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS e FROM {a}{k}),
+{a}{k + 1} AS (SELECT {key}, r // {width} AS r, CASE WHEN max(n) = 1 THEN max(d) ELSE sha256(string_agg(d, '' ORDER BY r)) END AS d, ceil(max(n) / {width})::BIGINT AS n
+  FROM {a}{k} GROUP BY {key}, r // {width}),
+{p}{k + 1} AS (SELECT p.* REPLACE (CASE WHEN s.n = 1 THEN p.x ELSE sha256(s.b || p.x || s.e) END AS x, CASE WHEN s.n = 1 THEN p.proof ELSE p.proof || s.b || s.e END AS proof)
+  FROM {p}{k} p JOIN {a}s{k} s ON p.{key} IS NOT DISTINCT FROM s.{key} AND p.{rank} // {width ** k} = s.r)""")
+
+    climb("a", "p", "lang", "r", inner)
+    parts.append(f"""b0 AS (SELECT 0 AS one, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS r, lang, d, count(*) OVER () AS n FROM a{inner}),
+q0 AS (SELECT p.*, b0.r AS t, b0.d AS subroot, 0 AS one FROM p{inner} p JOIN b0 ON p.lang IS NOT DISTINCT FROM b0.lang)""")
+    climb("b", "q", "one", "t", top)
+    return ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, x AS folded_root, x = d AS verified FROM q{top}, b{top}"""
+
+
+@query(_merkle_sql(inner=6, top=2))
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.document_manifest(table(spark, sf_dir, "documents"))
+
+
+# the given pages mark their article; there the rules come down to its blocks
+@query(r"""WITH cut AS (SELECT page_id, url, string_split(regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*?)<footer>', 1, 's'),
+    '</?(p|h1|article)>', chr(10), 'g'), '<[^>]*>', ' ', 'g'), chr(10)) AS lines FROM pages),
+decoded AS (SELECT page_id, url, list_filter(list_transform(lines, lambda l: trim(regexp_replace(regexp_replace(replace(l, '&quot;', '"'),
+    '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda l: l <> '') AS blocks FROM cut),
+joined AS (SELECT page_id, url, coalesce(array_to_string(blocks, chr(10)), '') AS text FROM decoded)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM joined""")
+def op13_two_pass_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_main_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
