@@ -135,24 +135,24 @@ def build(rows: DataFrame, name: str = "merkle") -> Manifest:
     """
     placed = ranked(rows, "tree", ["order", "digest"], f"{name}-laid")
     sizes = placed.groupBy(F.col("tree").alias("name")).agg(F.count(F.lit(1)).alias("n")).withColumn("forest", F.lit(0).cast("long"))
-    names = stage(ranked(sizes, "forest", ["name"], f"{name}-names").select("name", "n", F.col("rank").alias("number")), f"{name}-trees")
+    names = stage(ranked(sizes, "forest", ["name"], f"{name}-names").select("forest", "name", "n", F.col("rank").alias("number")), f"{name}-trees")
     leaves = stage(placed.join(names, F.col("tree").eqNullSafe(F.col("name"))).select(F.col("number").alias("tree"), "rank", "n", "digest", "asked"), f"{name}-leaves")
     levels = grow(leaves, f"{name}-level")
     subroots = None
     for level in [leaves, *levels]:
         ended = level.where("n = 1").select(F.col("tree").alias("of_tree"), F.col("digest").alias("subroot"))
         subroots = ended if subroots is None else subroots.unionByName(ended)
-    trees = stage(names.join(subroots, F.col("number") == F.col("of_tree")).select(F.col("number").alias("tree"), "name", "n", "subroot"), f"{name}-subroots")
+    trees = stage(names.join(subroots, F.col("number") == F.col("of_tree")).select(F.col("number").alias("tree"), "forest", "name", "n", "subroot"), f"{name}-subroots")
     count = trees.count()
     if not count:
         return Manifest(leaves, trees.withColumn("path", F.lit(None).cast(SEGMENTS)), levels, None)
-    top = trees.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("rank"), F.lit(count).cast("long").alias("n"), F.col("subroot").alias("digest"))
+    top = trees.select(F.col("forest").alias("tree"), F.col("tree").alias("rank"), F.lit(count).cast("long").alias("n"), F.col("subroot").alias("digest"))
     above = grow(top, f"{name}-top")
     root = (above[-1] if above else top).first()["digest"]
     start = top.sparkSession.createDataFrame([(0, count, root, [])], f"tree long, n long, digest string, path {SEGMENTS}")
     found = descend(above, start, top.select("tree", "rank", F.struct(F.col("rank").alias("number")).alias("asked")))
     paths = found.select(F.col("asked.number").alias("of_tree"), "path")
-    trees = stage(trees.join(paths, F.col("tree") == F.col("of_tree")).drop("of_tree"), f"{name}-paths")
+    trees = stage(trees.join(paths, F.col("tree") == F.col("of_tree")).drop("of_tree", "forest"), f"{name}-paths")
     return Manifest(leaves, trees, levels, root)
 
 
