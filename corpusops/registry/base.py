@@ -144,3 +144,7 @@ resolved AS (SELECT doc_id, array_to_string(list_transform(list_zip(g, x), lambd
     WHEN year(CAST(p[2][2] AS DATE)) = {year} OR CAST(p[2][2] AS DATE) >= pub THEN ''
     ELSE ' ' || p[2][1] || ' ' END), '') AS t FROM mentions),
 undated AS (SELECT doc_id, {tidy_sql('t')} AS undated FROM resolved)"""
+
+
+def hash_sql(seed: str, key: str = "doc_id") -> str:
+    return f"('0x' || substr(md5('{seed}|' || {key}), 1, 8))::BIGINT"

@@ -19,7 +19,7 @@ from ..session import work_dir
 from ..sources.readers import latest_file as newest
 from ..sources.readers import read_delimited, read_news
 from ..sources.sinks import load_metrics, save_metrics, write_delimited
-from .base import LABELLED, NEWS, SCORED, documents, labelled, news, query, scored, table
+from .base import LABELLED, NEWS, SCORED, documents, hash_sql, labelled, news, query, scored, table
 
 
 def _int(column):
@@ -203,26 +203,22 @@ def lookup_last_wins(spark, sf_dir):
 
 # samples and splits ---------------------------------------------------------------------------------
 
-def _hash_sql(seed: str, key: str = "doc_id") -> str:
-    return f"('0x' || substr(md5('{seed}|' || {key}), 1, 8))::BIGINT"
-
-
 @query(f"""WITH n AS (SELECT lang, round_even(count(*) / (SELECT count(*) FROM documents)::DOUBLE * 101, 0)::BIGINT AS q FROM documents GROUP BY lang),
-r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY {_hash_sql('42')}, doc_id) <= q AS taken FROM documents JOIN n USING (lang)),
-t AS (SELECT doc_id, lang, row_number() OVER (ORDER BY {_hash_sql('42-trim')}, doc_id) AS rn FROM r WHERE taken),
-f AS (SELECT doc_id, lang, row_number() OVER (ORDER BY {_hash_sql('42-fill')}, doc_id) AS rn FROM r WHERE NOT taken)
+r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY {hash_sql('42')}, doc_id) <= q AS taken FROM documents JOIN n USING (lang)),
+t AS (SELECT doc_id, lang, row_number() OVER (ORDER BY {hash_sql('42-trim')}, doc_id) AS rn FROM r WHERE taken),
+f AS (SELECT doc_id, lang, row_number() OVER (ORDER BY {hash_sql('42-fill')}, doc_id) AS rn FROM r WHERE NOT taken)
 SELECT doc_id, lang FROM t WHERE rn <= 101
 UNION ALL SELECT doc_id, lang FROM f WHERE rn <= 101 - (SELECT count(*) FROM t)""")
 def stratified_sample(spark, sf_dir):
     return sample(table(spark, sf_dir, "documents").select("doc_id", "lang"), 101, "lang", "doc_id")
 
 
-@query(f"SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (ORDER BY {_hash_sql('7')}, doc_id) AS rn FROM documents) WHERE rn <= 77")
+@query(f"SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (ORDER BY {hash_sql('7')}, doc_id) AS rn FROM documents) WHERE rn <= 77")
 def sample_by_hash(spark, sf_dir):
     return take_by_hash(table(spark, sf_dir, "documents").select("doc_id", "lang"), 77, "doc_id", 7)
 
 
-_DRAW = _hash_sql("42", "event_id") + " / 4294967296.0::DOUBLE"
+_DRAW = hash_sql("42", "event_id") + " / 4294967296.0::DOUBLE"
 _SPLIT_SQL = f"""SELECT event_id, CASE WHEN ts < TIMESTAMP '2024-01-20' THEN CASE WHEN {_DRAW} < 0.1 THEN 'train_holdout' ELSE 'train' END
   ELSE CASE WHEN {_DRAW} < 0.5 THEN 'dev' ELSE 'test' END END AS dataset_type FROM events WHERE ts IS NOT NULL"""
 
@@ -237,7 +233,7 @@ def split_sizes(spark, sf_dir):
     return sizes_of(time_split(spark, sf_dir))
 
 
-@query(f"""SELECT doc_id, CAST({_hash_sql('42-fold')} % 5 AS INTEGER) AS fold, {_hash_sql('42-draw')} / 4294967296.0::DOUBLE AS draw FROM documents""")
+@query(f"""SELECT doc_id, CAST({hash_sql('42-fold')} % 5 AS INTEGER) AS fold, {hash_sql('42-draw')} / 4294967296.0::DOUBLE AS draw FROM documents""")
 def cross_validation_folds(spark, sf_dir):
     return with_folds(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 

@@ -1,12 +1,17 @@
 import datetime
 import math
+import random
 
+import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusops.models import curves, linear
+from corpusops.models import curves, linear, newton
 from corpusops.operators import features as X
 from corpusops.operators.metrics import log_loss
 from corpusops.plans import infer, textflow, train
@@ -56,17 +61,30 @@ def test_vocabulary_bound_is_an_error_not_a_cut(spark):
     assert len(linear.vocabulary(df, "t", 1, max_vocabulary=3)) == 3
 
 
-def test_scaler_keeps_rare_terms(spark, corpus):
+def test_scales_are_exact_and_keep_rare_terms(spark, corpus):
     terms = linear.vocabulary(corpus, "content", 1)
     df = corpus
     for stage_ in linear.tfidf_stages("content", terms, 120):
         df = stage_.transform(df)
-    scaler = linear.quartile_scaler(df, terms, 120, 1e-6)
-    scale = dict(zip(terms["term"], scaler.getScalingVec().toArray()))
+    vectors = stage(df.select("__tfidf"), "vectors")
+    scale = dict(zip(terms["term"], linear.quartile_scales(newton.plain_vectors(vectors, "__tfidf"), terms, 120)))
     assert scale["редкий7"] == 1.0
-    widths = df.select(F.explode(F.array(F.struct(vector_to_array("__tfidf")[int(terms.index[terms.term == "день"][0])].alias("x")))).alias("s")).select("s.x")
-    low, high = widths.approxQuantile("x", [0.25, 0.75], 0.0)
-    assert scale["день"] == pytest.approx(1 / (high - low))
+    dense = np.array([r[0].toArray() for r in vectors.collect()])
+    for term, column in zip(terms["term"], dense.T):
+        low, high = np.quantile(column, [0.25, 0.75])
+        assert scale[term] == pytest.approx(1 / (high - low) if high - low > 1e-12 else 1.0, rel=1e-9)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 40])
+def test_sparse_quantiles_equal_numpy(spark, n):
+    pick = random.Random(n)
+    rows = [(t, pick.choice([1.5, 2.5, -1.0, pick.random()])) for t in ("a", "b", "c") for i in range(n) if pick.random() < {"a": 1, "b": 0.6, "c": 0.3}[t]]
+    df = spark.createDataFrame(rows, "term string, weight double")
+    got = {(r["term"], r["quantile"]): r["value"] for r in X.sparse_quantiles(df, n, [0.0, 0.25, 0.5, 0.75, 1.0]).collect()}
+    for t in {r[0] for r in rows}:
+        values = [w for u, w in rows if u == t]
+        want = np.quantile(values + [0.0] * (n - len(values)), [0.0, 0.25, 0.5, 0.75, 1.0])
+        assert [got[t, q] for q in (0.0, 0.25, 0.5, 0.75, 1.0)] == pytest.approx(list(want))
 
 
 def test_fit_predict_save_load(spark, corpus, tmp_path):
@@ -111,23 +129,131 @@ def test_decision_scores_of_other_classifiers(spark, corpus):
     assert scored.where("(predicted_probability > 0.5) <> (predicted_label = 1)").count() == 0
 
 
-def test_learning_curve(corpus):
+def objective_of(x, y, w, penalty):
+    return np.logaddexp(0, np.where(y > 0, -1, 1) * (x @ w)).sum() + penalty * np.abs(w).sum()
+
+
+def plain_optimum(x, y, penalty, rounds=60_000):
+    """Proximal gradient steps of fixed length, as many as it takes."""
+    w = np.zeros(x.shape[1])
+    length = 4 / np.linalg.norm(x, 2) ** 2
+    for _ in range(rounds):
+        to = w - length * (x.T @ (1 / (1 + np.exp(-x @ w)) - y))
+        to = np.sign(to) * np.maximum(np.abs(to) - length * penalty, 0)
+        if np.abs(to - w).max() < 1e-12:
+            break
+        w = to
+    return w
+
+
+@pytest.fixture(scope="module")
+def sparse_rows(spark):
+    """200 rows of 12 sparse features of very different scale, folds and draws; labels follow three of them, some are missing."""
+    pick = np.random.default_rng(5)
+    x = pick.normal(size=(200, 12)) * (pick.random((200, 12)) < 0.4) * np.array([1, 1, 1, 5, 0.2, 1, 1, 3, 1, 1, 1, 1])
+    y = (x[:, 0] - 2 * x[:, 1] + x[:, 3] / 5 + pick.normal(size=200) * 0.5 > 0).astype(int)
+    fold, draw = np.arange(200) % 5, pick.random(200)
+    draw[180:] = newton.LEFT_OUT
+    rows = [(int(y[i]) if i < 195 else None, Vectors.sparse(12, {j: float(v) for j, v in enumerate(x[i]) if v}) if i % 3 else Vectors.dense(x[i]), int(fold[i]), float(draw[i]))
+            for i in range(200)]
+    df = stage(_vector_frame(spark, rows), "sparse-rows")
+    return x, y, fold, draw, newton.tabled(newton.plain_vectors(df), "features", "label", "fold", "draw")
+
+
+def _vector_frame(spark, rows):
+    return spark.createDataFrame(rows, T.StructType([T.StructField("label", T.IntegerType()), T.StructField("features", VectorUDT()),
+                                                     T.StructField("fold", T.IntegerType()), T.StructField("draw", T.DoubleType())]))
+
+
+def test_newton_reaches_the_plain_optimum_for_all_problems(sparse_rows):
+    x, y, fold, draw, rows = sparse_rows
+    problems = [newton.Problem(12), newton.Problem(5), newton.Problem(12, 2), newton.Problem(12, 1, 0.3), newton.Problem(12, 0, 0.0), newton.Problem(0)]
+    scale = np.linspace(0.5, 3, 12)
+    fits = newton.fit_l1(rows, newton.Shape(12, scale=scale), problems, 0.5, tol=1e-6)
+    for p, f in zip(problems, fits):
+        use = (fold != p.fold) & (draw < p.fraction)
+        design = np.c_[x * scale * (np.arange(12) < p.width), np.ones(200)][use]
+        want = plain_optimum(design, y[use], 0.5) if use.any() else np.zeros(13)
+        assert f.rows == use.sum() and f.violation <= 1e-6
+        assert objective_of(design, y[use], f.weights, 0.5) <= objective_of(design, y[use], want, 0.5) + 1e-6
+        assert f.weights == pytest.approx(want, abs=1e-3)
+
+
+def test_newton_in_small_blocks_ends_at_the_same_point(sparse_rows, monkeypatch):
+    x, y, fold, draw, rows = sparse_rows
+    whole = newton.fit_l1(rows, newton.Shape(12, normalise=True), [newton.Problem(12)], 0.5, tol=1e-6)[0]
+    monkeypatch.setattr(newton._Search.choose, "__defaults__", (3,))
+    monkeypatch.setattr(newton, "PIECE", 5)
+    monkeypatch.setattr(newton, "SUMS", 1)
+    parts = newton.fit_l1(rows, newton.Shape(12, normalise=True), [newton.Problem(12), newton.Problem(12, 3)], 0.5, tol=1e-6)
+    assert parts[0].weights == pytest.approx(whole.weights, abs=1e-4) and parts[1].violation <= 1e-6
+    warm = newton.fit_l1(rows, newton.Shape(12, normalise=True), [newton.Problem(12)], 0.5, [whole.weights], tol=1e-5)[0]
+    assert warm.passes == 1
+
+
+def test_newton_without_rows_or_with_one_class(spark, sparse_rows):
+    rows = sparse_rows[-1]
+    assert newton.fit_l1(rows.limit(0), newton.Shape(12), [newton.Problem(12)])[0].rows == 0
+    one = newton.fit_l1(rows.where("label = 1"), newton.Shape(12), [newton.Problem(12)])[0]
+    assert one.violation <= 1e-4 and np.isfinite(one.weights).all()
+
+
+def test_certificate_tells_optimal_weights_from_others(spark, corpus):
+    model = linear.fit_text_classifier(corpus, "content", min_df=2)
+    table = linear.certificate(model, corpus)
+    assert table.where("NOT optimal").count() == 0
+    assert table.count() == len(model.stages[-1].coefficients) and table.where("weight <> 0").count() > 0
+    other = PipelineModel([*model.stages[:-1], newton.classifier_of(spark, model.stages[-1].coefficients.toArray() + 0.1)])
+    assert linear.certificate(other, corpus).where("NOT optimal").count() > 0
+
+
+def test_classifier_holds_the_weights(spark):
+    weights = np.array([0.0, -1.25, 3e4, 1e-9])
+    assert newton.classifier_of(spark, weights).coefficients.toArray() == pytest.approx(weights, rel=1e-12)
+
+
+@pytest.mark.parametrize("classifier", [None, lambda n: linear.l1_logistic(n, max_iter=300)])
+def test_learning_curve(corpus, classifier):
     model = linear.fit_text_classifier(corpus, "content", min_df=2, scaled=False)
     vectors = stage(linear.feature_vectors(model, corpus, "link", "true_label"), "v")
-    table = curves.learning_curve(vectors, "link", fractions=[0.0, 1.0], folds=2)
-    got = {(r["fraction"], r["part"]): r["mean"] for r in table.collect()}
-    assert got[(0.0, "train")] is None and got[(0.0, "valid")] is None
-    assert 0 < got[(1.0, "train")] < math.log(2)
+    table = curves.learning_curve(vectors, "link", fractions=[0.0, 1.0], folds=2, classifier=classifier)
+    got = {(r["fraction"], r["part"]): r for r in table.collect()}
+    assert got[(0.0, "train")]["mean"] is None and got[(0.0, "valid")]["mean"] is None
+    assert 0 < got[(1.0, "train")]["mean"] < math.log(2)
+    assert got[(1.0, "valid")]["rows"] + got[(1.0, "train")]["rows"] == 120 and got[(0.0, "train")]["rows"] == 0
     assert len(curves.TRAIN_FRACTIONS) == 30 and curves.TRAIN_FRACTIONS[-1] == pytest.approx(1.0)
 
 
-def test_min_df_sweep(corpus):
-    metrics, sizes, curve = curves.min_df_sweep(corpus, "link", "m", "content", min_df_values=[2, 10, 500], fractions=[1.0])
-    names = {r["model_name"] for r in metrics.collect()}
+def test_shared_fits_give_the_curve_of_single_fits(corpus):
+    model = linear.fit_text_classifier(corpus, "content", min_df=2, scaled=False)
+    vectors = stage(linear.feature_vectors(model, corpus, "link", "true_label"), "v")
+    shared = {(r["fraction"], r["part"]): r["mean"] for r in curves.learning_curve(vectors, "link", fractions=[0.4, 1.0], folds=2).collect()}
+    single = curves.learning_curve(vectors, "link", fractions=[0.4, 1.0], folds=2, classifier=lambda n: linear.l1_logistic(n).setTol(1e-9))
+    for r in single.collect():
+        assert shared[r["fraction"], r["part"]] == pytest.approx(r["mean"], abs=2e-3)
+
+
+@pytest.mark.parametrize("options", [{}, {"scaled": True}, {"classifier": lambda n: linear.l1_logistic(n).setTol(1e-9)}])
+def test_min_df_sweep(corpus, options):
+    metrics, sizes, curve = curves.min_df_sweep(corpus, "link", "m", "content", min_df_values=[2, 10, 500], fractions=[1.0], folds=2, **options)
+    rows = metrics.collect()
     vocabulary = {r["min_df"]: r["vocab_size"] for r in sizes.collect()}
-    assert names == {f"m_min_df_{v}_vocab_{vocabulary[v]}" for v in (2, 10)} and vocabulary[500] == 0
-    assert {r["data_type"] for r in metrics.collect()} == {"train", "train_holdout", "dev", "test"}
+    assert {r["model_name"] for r in rows} == {f"m_min_df_{v}_vocab_{vocabulary[v]}" for v in (2, 10)} and vocabulary[500] == 0
+    assert {r["data_type"] for r in rows} == {"train", "train_holdout", "dev", "test"}
     assert curve.count() == 4
+    plain = curves.min_df_sweep(corpus, "link", "m", "content", min_df_values=[10], fractions=())
+    assert plain[2] is None
+    if "scaled" not in options:  # the same optimum, whoever finds it
+        want = {r["data_type"]: r["pr_auc_score"] for r in plain[0].collect()}
+        assert {r["data_type"]: r["pr_auc_score"] for r in rows if "min_df_10_" in r["model_name"]} == pytest.approx(want)
+
+
+def test_sweep_reads_one_table_of_vectors(corpus, monkeypatch):
+    """However many thresholds and samples: the texts become vectors once."""
+    made = []
+    monkeypatch.setattr(curves, "tfidf_stages", lambda *a: made.append(a) or linear.tfidf_stages(*a))
+    curves.min_df_sweep(corpus, "link", "m", "content", min_df_values=range(2, 40, 4), fractions=[0.5, 1.0], folds=2)
+    assert len(made) == 1
 
 
 OPTIONS = textflow.TextOptions(as_of=datetime.date(2030, 1, 1), min_channel_rows=5)
