@@ -53,17 +53,6 @@ LAW_WORDS = [
 LAW_CODES = [r"ук\s*рф", r"гк\s*рф", r"коап\s*рф", r"нк\s*рф", r"тк\s*рф", "фз"]
 LAW_NUMBER = r"№?\s*[\dа-я\-–.]+"
 
-# fixed values: whole month names in all their cases and the usual abbreviations, in calendar order
-RUSSIAN_MONTHS = [
-    "январ[ьяюе]|январем|янв", "феврал[ьяюе]|февралем|фев", "март(?:а|у|е|ом)?|мар", "апрел[ьяюе]|апрелем|апр",
-    "ма[йяюе]|маем", "июн[ьяюе]|июнем|июн", "июл[ьяюе]|июлем|июл", "август(?:а|у|е|ом)?|авг",
-    "сентябр[ьяюе]|сентябрем|сент|сен", "октябр[ьяюе]|октябрем|окт", "ноябр[ьяюе]|ноябрем|ноя", "декабр[ьяюе]|декабрем|дек",
-]
-ENGLISH_MONTHS = [
-    "january|jan", "february|feb", "march|mar", "april|apr", "may", "june|jun", "july|jul", "august|aug",
-    "september|sept|sep", "october|oct", "november|nov", "december|dec",
-]
-
 # fixed values: prompt of the stored label requests
 SYSTEM_PROMPT = (
     "You are a helpful classification assistant. Your task is to read the given news text in "

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.regex import apply_regex
+from ..functions.calendars import ENGLISH, RUSSIAN
 from ..functions.spans import remove_dates
 from ..operators import frames
 from ..operators.dedup import distinct_in_order
@@ -151,7 +152,36 @@ def lemma_join(spark, sf_dir):
     forms = docs.select(F.explode(F.array_distinct(T.tokens("text"))).alias("form")).distinct()
     table = forms.where((F.length("form") > 3) & F.col("form").endswith("s")).select(
         "form", F.col("form").substr(F.lit(1), F.length("form") - 1).alias("lemma"))
-    return lemmatize(docs, table, "text", "doc_id", "lemmas").select("doc_id", "lemmas")
+    return lemmatize(docs, table, "text", "lemmas").select("doc_id", "lemmas")
+
+
+#: text before a mention, the mention, its date when told on 2024-12-01 (a Sunday), text after it
+_MENTIONS = [
+    ("суд решил", "вчера", "DATE '2024-12-01' - 1", "дело"), ("он пришел", "два дня назад", "DATE '2024-12-01' - 2", "домой"),
+    ("итог", "год назад", "DATE '2024-12-01' - INTERVAL 1 YEAR", "был"), ("встреча", "двадцать два месяца назад", "DATE '2024-12-01' - INTERVAL 22 MONTH", "была"),
+    ("заседание в", "пятницу", "DATE '2024-11-29'", "прошло"), ("это было в", "марте", "DATE '2024-03-01'", "там"), ("решение от", "17.04.23", "DATE '2023-04-17'", "отменено"),
+    ("приговор", "5 мая 2023", "DATE '2023-05-05'", "вынесен"), ("апелляция", "через три недели", "DATE '2024-12-01' + 21", "будет"),
+    ("выборы в", "прошлом году", "DATE '2024-12-01' - INTERVAL 1 YEAR", "были"), ("she came", "yesterday", "DATE '2024-12-01' - 1", "with him"),
+    ("it was", "thirteen", None, "or so"), ("they left", "twenty months ago", "DATE '2024-12-01' - INTERVAL 20 MONTH", "from there"),
+    ("the vote", "on", None, "that"), ("the court met", "last friday", "DATE '2024-11-29' - 7", "then"), ("a law of", "november 9, 2023", "DATE '2023-11-09'", "was"),
+    ("это", "статья 20.3", None, "коап"), ("закон", "дошел", None, "вчерашний"),
+]
+_MENTION_ROWS = ", ".join(f"({i}, '{a}', '{m}', {f'CAST({d} AS DATE)' if d else 'NULL'}, '{b}')" for i, (a, m, d, b) in enumerate(_MENTIONS))
+
+
+@query(f"""WITH m(i, a, mention, told, b) AS (VALUES {_MENTION_ROWS}),
+d AS (SELECT doc_id, lower(text) AS t, TIMESTAMP '2023-01-01' + to_days(CAST(doc_id % 365 AS INTEGER)) AS pub FROM documents),
+{undated_ctes('d', 2024)},
+kept AS (SELECT d.doc_id, a || ' ' || CASE WHEN told IS NOT NULL AND (year(told) = 2024 OR told >= pub) THEN '' ELSE replace(mention, ',', '') || ' ' END || b AS front
+  FROM d JOIN m ON doc_id % {len(_MENTIONS)} = i)
+SELECT doc_id, trim(front || ' ' || undated) AS undated FROM kept JOIN undated USING (doc_id)""")
+def relative_dates_removed(spark, sf_dir):
+    """Relative mentions, weekdays, bare months and short years in Russian and English, told on a fixed day."""
+    rows = F.array(*[F.lit(f"{a.capitalize()} {m} {b} . ") for a, m, _, b in _MENTIONS])
+    text = F.concat(F.get(rows, (F.col("doc_id") % len(_MENTIONS)).cast("int")), F.col("text"))
+    published = F.date_add(F.lit("2023-01-01").cast("date"), F.col("doc_id").cast("int") % 365).cast("timestamp_ntz")
+    dated = documents(spark, sf_dir).select("doc_id", text.alias("undated"), published.alias("published"))
+    return remove_dates(dated, "undated", "published", as_of=datetime.date(2024, 12, 1), calendar=RUSSIAN | ENGLISH).select("doc_id", "undated")
 
 
 _DATED_SQL = ("'on ' || strftime(DATE '2022-06-01' + CAST(doc_id % 700 AS INTEGER), '%Y-%m-%d') || ' or ' || "

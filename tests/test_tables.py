@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corpusops.functions import dates as D
 from corpusops.functions import urls as U
 from corpusops.operators import dedup, frames, sampling
+from corpusops.session import stage
 
 DT = datetime.datetime
 
@@ -162,16 +163,18 @@ def test_take_by_hash_is_exact_at_any_cell_count(spark, count):
         assert len(got) == len(want) and set(got) == want
 
 
-def test_sample_ranks_cut_cells_only(spark):
-    """A group with all rows is ranked cell by cell, not in one window partition."""
-    df = spark.range(5000).selectExpr("if(id >= 0, 'hot', 'cold') g", "id k")
-    sample = sampling.stratified_sample(df, 1234, "g", "k")
-    assert sample.count() == 1234
-    plan = plan_of(sample)
-    assert "row_number()" in plan
-    for line in plan.splitlines():
-        if "row_number()" in line and "windowspecdefinition" in line:
-            assert "__cell" in line.split("windowspecdefinition", 1)[1]
+@pytest.mark.parametrize("target, scans", [(1234, 3), (1235, 4)])
+def test_sample_reads_the_table_once_for_each_step(spark, monkeypatch, target, scans):
+    """Counts, cut cells, (rows that rounding adds,) result: one scan each, and only cut cells are ranked."""
+    df = spark.range(5000).selectExpr("if(id >= 2500, 'hot', 'cold') g", "id k")
+    written = []
+    monkeypatch.setattr(sampling, "stage", lambda df, name: written.append((name, plan_of(df))) or stage(df, name))
+    sample = sampling.stratified_sample(df, target, "g", "k")
+    assert sample.count() == target
+    plans = [plan for _, plan in written] + [plan_of(sample)]
+    assert sum(plan.count("Range (0, 5000") for plan in plans) == scans
+    assert [name for name, plan in written if "row_number" in plan] == ["hash-cuts"]
+    assert "Join" in dict(written)["hash-cuts"]
 
 
 def test_time_split_is_disjoint_and_whole(spark):
