@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
@@ -28,13 +28,20 @@ def external_links(links: DataFrame, own_domains: Iterable[str], link: str = "li
 
 
 def page_texts(
-    pages: DataFrame, url: str = "url", html: str = "html", tag: str = "div", cls: str = P.MESSAGE_CLASS
+    pages: DataFrame, url: str = "url", html: str = "html", tag: str = "div", cls: str = P.MESSAGE_CLASS, fetched: str | None = None
 ) -> DataFrame:
-    """(url, page_text), one row per address: each page is parsed once, however often it is linked."""
-    return (
-        pages.select(F.col(url).alias("url"), subtree_text(html, tag, cls).alias("page_text"))
-        .groupBy("url").agg(F.max("page_text").alias("page_text"))
-    )
+    """(url, page_text), one row per address: that of the last fetch, by the column ``fetched``, and of it the alphabetically last.
+
+    Pages without a time come before all others. Only the page that is kept is parsed if ``fetched`` is given.
+    """
+    if fetched is None:
+        return (
+            pages.select(F.col(url).alias("url"), subtree_text(html, tag, cls).alias("page_text"))
+            .groupBy("url").agg(F.max("page_text").alias("page_text"))
+        )
+    last = F.row_number().over(Window.partitionBy("url").orderBy(F.col("__at").desc_nulls_last(), F.col("__html").desc_nulls_last()))
+    kept = pages.select(F.col(url).alias("url"), F.col(html).alias("__html"), F.col(fetched).alias("__at")).withColumn("__last", last).where("__last = 1")
+    return kept.select("url", subtree_text("__html", tag, cls).alias("page_text"))
 
 
 def link_texts(links: DataFrame, texts: DataFrame, link: str = "link", output: str = "extracted_text") -> DataFrame:

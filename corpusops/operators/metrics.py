@@ -8,11 +8,11 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import compute_once
+from ..session import stage
 from .frames import require
 
-#: score ranges that are ranked apart; each holds about 1/SCORE_CELLS of the distinct scores
-SCORE_CELLS = 256
+#: distinct scores of a range, about
+RANGE_SCORES = 50_000
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -76,23 +76,23 @@ def _curve(df: DataFrame, by: list[str], label: str, score: str) -> DataFrame:
     """Per group and distinct score the label counts at it (pos, neg), above or at it (tp, fp) and
     in the whole group (all_pos, all_neg).
 
-    The running sums are taken in score ranges of about equal numbers of distinct scores, whose
-    totals are then summed up in turn, so no task sees all scores of a group. The range bounds come
-    to the driver first (one job): both branches must cut at the very same scores.
+    The input is read once; what is written are the counts of its distinct scores. They are laid out by group and falling score in as many
+    ranges as their number asks for; running sums are taken inside the ranges, whose totals are then summed up in turn, so
+    no task sees all scores of a group.
     """
     at_score = (
         df.where(F.col(score).isNotNull())
         .groupBy(*by, F.col(score).alias("score"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     )
-    fractions = [i / SCORE_CELLS for i in range(1, SCORE_CELLS)]
-    bounds = at_score.agg(F.percentile_approx("score", fractions, 10000)).first()[0] or []
-    limits = F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast("array<double>")
-    cells = compute_once(at_score, "__cell", F.size(F.filter(limits, lambda b: b < F.col("score"))))
+    at_score = stage(at_score, "scores")
+    ranges = max(1, -(-at_score.count() // RANGE_SCORES))
+    ranged = at_score.repartitionByRange(ranges, *[F.asc_nulls_first(b) for b in by], F.col("score").desc())
+    cells = stage(ranged.withColumn("__cell", F.spark_partition_id()), "score-ranges")
     inside = Window.partitionBy(*by, "__cell").orderBy(F.col("score").desc())
     # one row per score range from here on
     group = Window.partitionBy(*by)
-    above = group.orderBy(F.col("__cell").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    above = group.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     names = [f"__by{i}" for i in range(len(by))]
     totals = (
         cells.groupBy(*by, "__cell").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))

@@ -10,10 +10,13 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.literals import required_literals, rules_to_try
 from .frames import require
 
 #: characters of pattern text per combined alternation
 CHUNK_CHARS = 4000
+#: up to this number all rules are run on every text
+FEW_RULES = 100
 # numbered and named references change meaning inside a combined pattern
 _REFERENCE = re.compile(r"\\[1-9]|\\k<|\(\?<[A-Za-z]|\(\?P")
 
@@ -39,14 +42,20 @@ def _combined(rules: Sequence[str]) -> list[str]:
     return [f"(?Ud){p}" for p in ["|".join(c) for c in chunks] + alone]
 
 
-def matches_any(text: Column | str, rules: Sequence[str]) -> Column:
+def matches_any(text: Column | str, rules: Sequence[str], few: int = FEW_RULES) -> Column:
     """True where at least one rule is found in the text.
 
-    Rules are configuration: they become literals of the plan, compiled once per task, and one scan
-    of the text tests them all. No join of texts with rules takes place at any number of rules.
+    Rules are configuration: they become literals of the plan, compiled once per task. Up to ``few`` of them are tested in one scan of the
+    text; beyond, a rule with a required literal is run only on texts that hold it, so the time hardly depends on their number.
+    No join of texts with rules takes place at any number of rules, and the result is the same.
     """
     text = F.col(text) if isinstance(text, str) else text
-    tests = [text.rlike(p) for p in _combined(rules)]
+    known = {i: found for i, r in enumerate(rules) if (found := required_literals(r))} if len(rules) > few else {}
+    tests = [text.rlike(p) for p in _combined([r for i, r in enumerate(rules) if i not in known])]
+    if known:
+        patterns = F.lit([_combined([rules[i]])[0] for i in known])
+        candidates = rules_to_try(text, [(at, *known[i]) for at, i in enumerate(known)])
+        tests.append(F.exists(candidates, lambda at: F.rlike(text, F.get(patterns, at))))
     return reduce(or_, tests) if tests else F.lit(False)
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .archives import read_xz, read_zip
+from .delimited import headers, list_files, read_xz, read_zip
+from .manifest import manifests, schema_at
 
 # fixed values: suffixes and separators
 SUFFIXES = (".gz", ".zip", ".xz", ".csv")
@@ -14,29 +17,53 @@ SEMICOLON, COMMA, TAB = ";", ",", "\t"
 
 
 def latest_file(spark: SparkSession, directory: str, suffixes: tuple[str, ...] = SUFFIXES) -> str | None:
-    """Most recently modified file with one of the suffixes directly in a folder, or None.
+    """Most recent file with one of the suffixes directly in a folder, or complete output of our own with such a name; or None.
 
-    Only names and times are read: the content column is pruned from the scan.
+    Only names and times are read: the content column is pruned from the scan. An output counts from when its manifest was
+    written, so one that is being written, or that failed, is never the newest.
     """
     glob = "*{" + ",".join(suffixes) + "}"
+    found = []
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-        return files.agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]
+        newest = files.agg(F.max(F.struct(F.unix_micros(F.col("modificationTime")).alias("at"), "path"))).first()[0]
+        found = [tuple(newest)] if newest else []
     except Exception as error:  # no such folder, or nothing in it that matches
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return None
-        raise
+        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
+            raise
+    for told in manifests(spark, directory):
+        if told["path"].endswith(suffixes):
+            at = datetime.datetime.fromisoformat(told["written"])
+            found.append((int(at.timestamp() * 1_000_000), told["path"]))
+    return max(found)[1] if found else None
+
+
+def read_output(spark: SparkSession, path: str, sep: str = SEMICOLON) -> DataFrame:
+    """A table that ``sinks.write_delimited`` wrote, with the types it had; strings such as ``007`` stay strings."""
+    rows, schema = read_delimited(spark, path, sep), schema_at(spark, path)
+    if schema is None:
+        return rows
+    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], sep: str = SEMICOLON, multi_line: bool = True) -> DataFrame:
-    """CSV with header and quoted fields; gzip is decoded by suffix.
+    """CSV with quoted fields, every file by its own header; gzip is decoded by suffix.
 
-    Texts hold line breaks, so records may span lines and a file is one task. Files written without
+    Files are grouped by header and each group is read by Spark's reader; columns are united by name, in the order of paths, and are null where a
+    file lacks them. Texts hold line breaks, so records may span lines and a file is one task. Files written without
     line breaks inside fields can be split: pass ``multi_line=False``. Short records are padded with null;
-    a record with more fields than the header is an error that names the file.
+    a record with more fields than its header is an error that names the file.
     """
+    groups = headers(spark, list_files(spark, path), sep)
+    out = None
+    for names, paths in groups:
+        part = _one_header(spark, path if len(groups) == 1 else paths, names, sep, multi_line)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return spark.createDataFrame([], T.StructType()) if out is None else out
+
+
+def _one_header(spark: SparkSession, path: str | list[str], names: list[str], sep: str, multi_line: bool) -> DataFrame:
     options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": multi_line, "encoding": "utf-8"}
-    names = spark.read.csv(path, **options).columns
     more = "_more" + "_" * max([0, *map(len, names)])  # takes the first field too many
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, more]])
     rows = spark.read.schema(schema).csv(path, **options)
@@ -84,15 +111,16 @@ def read_rules(spark: SparkSession, path: str) -> list[str]:
     return [row[0] for row in rules.toLocalIterator()]
 
 
-def texts_to_frame(spark: SparkSession, data, column: str = "content") -> DataFrame:
-    """A text, a list of texts or a DataFrame as a DataFrame."""
+def texts_to_frame(spark: SparkSession, data, column: str = "content", position: str | None = None) -> DataFrame:
+    """A text, a list of texts or a DataFrame as a DataFrame; ``position`` names a column with the place in the list."""
     if isinstance(data, DataFrame):
         return data
     if isinstance(data, str):
         data = [data]
     if not isinstance(data, list):
         raise ValueError("expected a text, a list of texts or a DataFrame")
-    return spark.createDataFrame([(t,) for t in data], f"{column} string")
+    rows = spark.createDataFrame(list(enumerate(data)), f"{position or '__position'} long, {column} string")
+    return rows if position else rows.select(column)
 
 
 def row_count(df: DataFrame) -> int:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.metrics import rounded
+from .manifest import commit, schema_at
 
 
 def output_path(folder: str, name: str, add_date: bool = False, compressed: bool = False,
@@ -25,6 +26,7 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", compressed: bool =
     """CSV with header; quotes inside fields are doubled, so ``read_delimited`` reads it back."""
     df.write.mode(mode).csv(path, header=True, sep=sep, quote='"', escape='"', encoding="utf-8",
                             compression="gzip" if compressed else "none")
+    commit(df, path)
     return path
 
 
@@ -67,6 +69,7 @@ def save_split_predictions(df: DataFrame, folder: str, split: str = "dataset_typ
     path = output_path(folder, "predictions", add_date, compressed=True)
     df.write.mode("overwrite").partitionBy(split).csv(
         path, header=True, sep=";", quote='"', escape='"', compression="gzip")
+    commit(df, path)
     return path
 
 
@@ -83,17 +86,20 @@ def save_metrics(metrics: DataFrame, path: str, append: bool = True) -> str:
     """Upsert by (model_name, data_type) into a JSON store, doubles rounded to 2 places.
 
     The key is the partition path, so dynamic overwrite replaces exactly the rows of the same key
-    and no old row is read. ``append=False`` starts the store anew.
+    and no old row is read. ``append=False`` starts the store anew. The schema is kept in the store's manifest.
     """
-    (rounded(metrics).write.mode("overwrite").partitionBy(*METRIC_KEYS)
+    rows = rounded(metrics)
+    (rows.write.mode("overwrite").partitionBy(*METRIC_KEYS)
      .option("partitionOverwriteMode", "dynamic" if append else "static").json(path))
+    commit(rows, path)
     return path
 
 
 def load_metrics(spark: SparkSession, path: str, columns: DataFrame | None = None) -> DataFrame:
-    """Read the store back, with the columns of ``columns`` if given; keys stay strings."""
-    if columns is not None:
-        fields = [T.StructField(f.name, T.StringType()) if f.name in METRIC_KEYS else f for f in columns.schema.fields]
+    """Read the store back with the columns of ``columns``, else those it was last saved with; keys stay strings."""
+    schema = columns.schema if columns is not None else schema_at(spark, path)
+    if schema is not None:
+        fields = [T.StructField(f.name, T.StringType()) if f.name in METRIC_KEYS else f for f in schema.fields]
         return spark.read.schema(T.StructType(fields)).json(path)
     stored = spark.read.json(path)
     return stored.withColumns({k: F.col(k).cast("string") for k in METRIC_KEYS})
@@ -101,5 +107,7 @@ def load_metrics(spark: SparkSession, path: str, columns: DataFrame | None = Non
 
 def append_metrics(metrics: DataFrame, path: str, append: bool = True) -> str:
     """Append to (or restart) a JSON store without keys, doubles rounded to 2 places."""
-    rounded(metrics).write.mode("append" if append else "overwrite").json(path)
+    rows = rounded(metrics)
+    rows.write.mode("append" if append else "overwrite").json(path)
+    commit(rows, path)
     return path

@@ -1,12 +1,16 @@
 import math
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusops.functions import scores as S
+from corpusops.functions.literals import required_literals
 from corpusops.operators import metrics as M
 from corpusops.operators import rules as R
 from corpusops.plans.classify import classify_frame
+from corpusops.session import stage
 
 
 def scored(spark, pairs, group="g"):
@@ -32,7 +36,8 @@ def test_pr_auc_undefined_and_per_group(spark):
     assert got["h"]["pr_auc_score"] == 1.0 and got["h"]["roc_auc_score"] == 1.0
 
 
-def test_curve_over_many_cells_equals_brute_force(spark):
+def test_curve_over_many_ranges_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(M, "RANGE_SCORES", 100)
     pairs = [((i * 7919 % 5003) / 5003, 1 if (i * 31) % 7 < 3 else 0) for i in range(5003)]
     got = {r["score"]: (r["tp"], r["fp"]) for r in M.pr_curve(scored(spark, pairs), []).collect()}
     tp = fp = 0
@@ -46,11 +51,15 @@ def test_curve_over_many_cells_equals_brute_force(spark):
     assert M.score_auc(scored(spark, pairs), []).first()["pr_auc_score"] == pytest.approx(area)
 
 
-def test_running_sums_are_split_by_score_range(spark):
-    plan = M.pr_curve(scored(spark, [(0.9, 1)]), ["part"])._jdf.queryExecution().executedPlan().toString()
-    for line in plan.splitlines():
-        if "windowspecdefinition" in line and "score" in line.split("windowspecdefinition")[1]:
-            assert "__cell" in line.split("windowspecdefinition")[1]
+def test_ranges_follow_the_number_of_distinct_scores(spark, monkeypatch):
+    """A million scores of one group: no range has more than a few times the rows that one is meant to have."""
+    written = {}
+    monkeypatch.setattr(M, "stage", lambda df, name: written.setdefault(name, stage(df, name)))
+    many = spark.range(1_000_000).select(((F.col("id") * 7919) % 1_000_003 / 1_000_003).alias("predicted_probability"), (F.col("id") % 2).cast("int").alias("true_label"))
+    area = M.score_auc(many, []).first()["roc_auc_score"]
+    sizes = [r[1] for r in written["score-ranges"].groupBy("__cell").count().collect()]
+    assert sum(sizes) == 1_000_000 and len(sizes) > 10 and max(sizes) < 3 * M.RANGE_SCORES
+    assert area == pytest.approx(0.5, abs=0.01)
 
 
 def test_confusion_of_one_class(spark):
@@ -138,3 +147,49 @@ def test_prompt_and_sigmoid(spark):
     assert [m["role"] for m in messages] == ["system", "user"] and messages[1]["content"] == "News text: текст"
     assert df.select(S.sigmoid("x")).first()[0] == 0.5
     assert df.select(S.sigmoid(F.lit(-1000.0))).first()[0] == 0.0
+
+
+LITERALS = [
+    ("abcd", ["abcd"], False), ("(?i)Привет", ["привет"], True), (r"\bслово\b", ["слово"], False), (r"ab+cdef?", ["cde"], False), ("(abc|defg)x?", ["abc", "defg"], False),
+    (r"a(?:bcd)?efgh", ["efgh"], False), (r"(abc)+", ["abc"], False), (r"[a-z]+word\d", ["word"], False), (r"1\.25\$", ["1.25$"], False), (r"x{2}longer", ["longer"], False),
+    (r"(?=abc)wxyz(?!q)", ["wxyz"], False), (r"\p{L}+ness", ["ness"], False), ("[[a]b]text", ["text"], False),
+]
+
+
+@pytest.mark.parametrize("rule, words, ignore", LITERALS)
+def test_required_literals(rule, words, ignore):
+    assert required_literals(rule) == (words, ignore)
+
+
+@pytest.mark.parametrize("rule", ["ab", "a?b?c?", r"\d+", "abc|", "abc|x", "(?x)a b c", r"\Qabc\E", r"\x41bcd", "(?i:abcd)", "(abcd", "a**", "(?<n>ab)\\k<n>"])
+def test_no_literal_is_claimed_where_none_is_known(rule):
+    assert required_literals(rule) is None
+
+
+def test_many_rules_label_like_the_plain_scan(spark):
+    pick = random.Random(8)
+    parts = ["суд", "Закон", "дело", "abc", "де", "x", r"\d+", r"\s", ".", "[а-я]", "(?:раз|два|трижды)", "конец?", "K", "ſtart", "İ", "ı"]
+    rules = [pick.choice(["", "(?i)"]) + "".join(pick.choice(parts) + pick.choice(["", "", "", "?", "+", "{2}", "{0,1}"]) for _ in range(pick.randint(1, 5))) for _ in range(300)]
+    rules += [r"(суд)\1", r"(?<a>дело)x", "дело|"[:-1]]
+    words = ["суд", "СУД", "закон", "Закон", "делодело", "abc", "ABC", "де", "12", "раз", "трижды", "конец", "коне", "k", "K", "start", "ſTART", "i", "İ", "ı", " ", "x"]
+    texts = ["".join(pick.choice(words) for _ in range(pick.randint(0, 8))) for _ in range(300)] + [None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, t string")
+    hits = df.select("k", *[F.struct(R.matches_any("t", [r]).alias("p"), R.matches_any("t", [r], few=0).alias("f")).alias(f"r{i}") for i, r in enumerate(rules[:60])])
+    for row in hits.collect():
+        assert all(row[f"r{i}"]["p"] == row[f"r{i}"]["f"] for i in range(60)), row
+    plain = {r.k: r.m for r in df.select("k", R.matches_any("t", rules, few=10_000).alias("m")).collect()}
+    quick = {r.k: r.m for r in df.select("k", R.matches_any("t", rules, few=0).alias("m")).collect()}
+    assert plain == quick
+
+
+def test_time_hardly_depends_on_the_number_of_rules(spark):
+    df = spark.createDataFrame([("слово за словом и номер 77 тут " * 40,)] * 400, "content string")
+
+    def seconds(n):
+        rules = [rf"(?i)номер {i}[а-я]? из \d+" for i in range(n)] + ["номер 77"]
+        start = time.time()
+        assert R.texts_matching(df, rules).count() == 400
+        return time.time() - start
+
+    seconds(200)
+    assert seconds(10_000) < 10 * seconds(200) + 5

@@ -307,6 +307,7 @@ def test_train_and_infer(spark, corpus, tmp_path):
     scored = infer.score_news(model, corpus.drop("true_label"), stats=stats, options=OPTIONS)
     assert scored.columns == infer.RESULT_COLUMNS and scored.count() == 120
     texts = infer.score_texts(spark, model, ["Суд идет", "Спорт"], options=OPTIONS)
+    assert {r["position"]: r["content"] for r in texts.collect()} == {0: "Суд идет", 1: "Спорт"}
     p = {r["content"]: r["predicted_probability"] for r in texts.collect()}
     assert p["Суд идет"] > 0.5 > p["Спорт"]
 

@@ -5,10 +5,12 @@ import os
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusops.plans.prepare import prepare_frame, prepare_news
 from corpusops.session import stage, work_dir
 from corpusops.sources import readers as R
+from corpusops.sources import manifest
 from corpusops.sources import sinks as S
 
 ROWS = [("https://t.me/a/1", 'строка "раз";\nстрока два', "2024-06-01"), ("https://b.ru/2", "текст", "2024-06-02")]
@@ -185,3 +187,55 @@ def test_staged_table_lies_in_the_named_folder(spark):
     assert df.count() == 3
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert all(work_dir(spark) in f for f in df.inputFiles())
+
+
+@pytest.mark.parametrize("suffix", [".csv", ".csv.gz"])
+def test_files_of_different_headers_align_by_name(spark, tmp_path, suffix):
+    for name, data in (("a", 'x;y\n1;"2;\n2"\n'), ("b", "y;x;z\n9;8;7\n5\n"), ("c", ""), ("d", "\ufeffx;y\n3;4\n")):
+        opener = gzip.open if suffix.endswith(".gz") else open
+        with opener(tmp_path / (name + suffix), "wt", encoding="utf-8", newline="") as f:
+            f.write(data)
+    df = R.read_delimited(spark, str(tmp_path))
+    assert df.columns == ["x", "y", "z"]
+    assert {tuple(r) for r in df.collect()} == {("1", "2;\n2", None), ("8", "9", "7"), (None, "5", None), ("3", "4", None)}
+
+
+def test_headers_without_or_with_repeated_names(spark, tmp_path):
+    (tmp_path / "n.csv").write_text("a;;A\n1;2;3\n", encoding="utf-8")
+    assert R.read_delimited(spark, str(tmp_path / "n.csv")).columns == ["a0", "_c1", "A2"]
+
+
+def test_archives_are_streamed_one_partition_a_file(spark, tmp_path):
+    for i in range(3):
+        with lzma.open(tmp_path / f"{i}.xz", "wt", encoding="utf-8") as f:
+            f.write("a\n" + "".join(f"{i}-{j}\n" for j in range(5000)))
+    df = R.read_news(spark, str(tmp_path) + "/*.xz")
+    assert df.rdd.getNumPartitions() == 3 and df.distinct().count() == 15_000
+
+
+def test_newest_complete_output(spark, tmp_path):
+    df = spark.createDataFrame([("007", 1.5, True, datetime.date(2024, 5, 1))], "code string, x double, b boolean, d date")
+    write(tmp_path, "old.csv")
+    os.utime(tmp_path / "old.csv", (1e9, 1e9))
+    assert R.latest_file(spark, str(tmp_path)).endswith("/old.csv")
+    first = S.write_delimited(df, str(tmp_path / "z.csv"))
+    second = S.write_delimited(df.withColumn("x", F.lit(2.5)), str(tmp_path / "a.csv"))
+    df.write.csv(str(tmp_path / "broken.csv"))
+    assert R.latest_file(spark, str(tmp_path)).endswith("/a.csv")
+    back = R.read_output(spark, second)
+    assert back.schema == df.schema and back.first() == ("007", 2.5, True, datetime.date(2024, 5, 1))
+    S.write_delimited(df, first)
+    assert R.latest_file(spark, str(tmp_path)).endswith("/z.csv")
+    assert [m["path"].rsplit("/", 1)[1] for m in manifest.manifests(spark, str(tmp_path))] == ["a.csv", "z.csv"]
+    df.write.mode("overwrite").csv(first)  # no longer one of ours
+    assert R.latest_file(spark, str(tmp_path)).endswith("/a.csv") and manifest.schema_at(spark, first) is None
+
+
+def test_store_keys_that_look_like_numbers(spark, tmp_path):
+    rows = spark.createDataFrame([("007", "1e5", 1, 0.5)], "model_name string, data_type string, n int, share double")
+    S.save_metrics(rows, str(tmp_path / "m"))
+    assert [tuple(r) for r in S.load_metrics(spark, str(tmp_path / "m")).select("model_name", "data_type", "n", "share").collect()] == [("007", "1e5", 1, 0.5)]
+
+
+def test_position_of_each_text(spark):
+    assert sorted(map(tuple, R.texts_to_frame(spark, ["b", "a", "b"], "t", "place").collect())) == [(0, "b"), (1, "a"), (2, "b")]

@@ -191,3 +191,19 @@ def test_time_split_is_disjoint_and_whole(spark):
 def test_union_fills_missing_columns(spark):
     a, b = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([("b",)], "y string")
     assert collect(frames.union_sources(a, b)) == [(1, None), (None, "b")]
+
+
+@pytest.mark.parametrize("text, date", [
+    ("15.03.2024", DT(2024, 3, 15)), ("1.3.2024 10:05", DT(2024, 3, 1, 10, 5)), ("01/03/2024 10:05:09", DT(2024, 3, 1, 10, 5, 9)), ("5 Mar 2024", DT(2024, 3, 5)),
+    ("5 March 2024 1:02", DT(2024, 3, 5, 1, 2)), ("20240305", DT(2024, 3, 5)), ("2024/3/5", DT(2024, 3, 5)), ("2024-03-05 01:02:03+03:00", DT(2024, 3, 5, 1, 2, 3)),
+    ("45.13.2024", None), ("soon", None), ("", None), (None, None),
+])
+def test_other_date_formats(spark, text, date):
+    df = spark.createDataFrame([(text,)], "d string")
+    assert D.parse_dates(df, "d", formats=D.DAY_FIRST).first()[0] == date
+    assert tuple(D.unparsed_dates(df, "d", D.DAY_FIRST).first()) == (1, int(text is None), int(text is not None and date is None))
+
+
+def test_month_first_dates(spark):
+    df = spark.createDataFrame([("3/15/2024",), ("Mar 5, 2024",), ("March 5, 2024 7:08",)], "d string")
+    assert [r[0] for r in D.parse_dates(df, "d", formats=D.MONTH_FIRST).collect()] == [DT(2024, 3, 15), DT(2024, 3, 5), DT(2024, 3, 5, 7, 8)]
