@@ -7,14 +7,16 @@ and it is what merging the whole text gives, since no merge crosses a final boun
 
 Long texts are cut into chunks of CHUNK characters at any place. A boundary state is a piece that starts
 before the boundary and ends on or behind it. Each chunk yields a max-plus matrix from the states at its
-left boundary to those at its right one; the matrices of a text are combined (the product is
-associative), which fixes the state at every boundary, and then each chunk is traced on its own.
+left boundary to those at its right one. The product is associative, so matrices of FAN neighbouring chunks are multiplied in
+one task, their products in turn, until a text has one; on the way back down the states at the ends of a range fix
+those at its inner boundaries, and then each chunk is traced on its own.
 Where no piece crosses a position (before a word's space mark), paths meet, so words inside a chunk
-are independent of the boundaries and are looked up in a table of words seen by the task.
+are independent of the boundaries and are looked up in a table of words seen lately.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from array import array
 from collections.abc import Iterator
@@ -23,11 +25,18 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: characters of a chunk; words a task remembers before it starts its table anew
-CHUNK, REMEMBER = 1 << 15, 400_000
+from ..session import stage
+
+#: characters of a chunk; chunks (then ranges of them) that are combined in one task
+CHUNK, FAN = 1 << 15, 64
+#: words a process remembers (twice that for a while), each about 250 bytes; pairs of pieces; bytes of text worked on at once
+REMEMBER, PAIRS, SLICE = 100_000, 50_000, 1 << 20
+#: longer stretches without a space are traced, not merged, which takes time with the square of their length
+MERGED = 64
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 
@@ -48,7 +57,7 @@ def parse_model(proto) -> dict:
         raise ValueError("only models with the identity normaliser and escaped leading white space are supported")
     if proto.trainer_spec.model_type not in (UNIGRAM, BPE):
         raise ValueError("only unigram and BPE models are supported")
-    return {"kind": proto.trainer_spec.model_type, "dummy": n.add_dummy_prefix, "fallback": proto.trainer_spec.byte_fallback,
+    return {"digest": hashlib.sha256(proto.SerializeToString(deterministic=True)).hexdigest(), "kind": proto.trainer_spec.model_type, "dummy": n.add_dummy_prefix, "fallback": proto.trainer_spec.byte_fallback,
             "pieces": [(p.piece, p.score, p.type) for p in proto.pieces]}
 
 
@@ -72,6 +81,7 @@ class Lattice:
         self.pairs: dict[tuple[str, str], bool] = {}
         self.alone: dict[str, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def merge(self, text: str) -> list[str]:
         """The pieces of a short text by merging: best score first, leftmost among equals."""
@@ -94,7 +104,7 @@ class Lattice:
         key = (left, right)
         ok = self.pairs.get(key)
         if ok is None:
-            if len(self.pairs) > 4 * REMEMBER:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
             ok = self.pairs[key] = self.merge(left + right) == [left, right]
         return ok
@@ -152,12 +162,17 @@ class Lattice:
         return out
 
     def word(self, text: str) -> tuple[int, ...]:
-        """Numbers of a stretch that no piece leaves."""
+        """Numbers of a stretch that no piece leaves; the words of the last two tables are remembered."""
         found = self.words.get(text)
         if found is None:
-            if len(self.words) > REMEMBER:
-                self.words.clear()
-            found = self.words[text] = tuple(self.numbers(self.trace(self.forward(text, 0, len(text)), len(text))))
+            found = self.older.get(text)
+            if found is None:
+                pieces = self.merge(text) if self.bpe and len(text) <= MERGED else self.trace(self.forward(text, 0, len(text)), len(text))
+                found = tuple(self.numbers(pieces))
+            if len(text) <= MERGED:
+                if len(self.words) >= REMEMBER:
+                    self.older, self.words = self.words, {}
+                self.words[text] = found
         return found
 
     # chunks ---------------------------------------------------------------------------------------
@@ -257,58 +272,145 @@ class Lattice:
 
 
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_LATTICES: dict[int, Lattice] = {}
+_LATTICES: dict[str, Lattice] = {}
 
 
-def _lattice(model) -> Lattice:
-    """One lattice per broadcast model and worker process, so that its tables serve all tasks."""
-    found = _LATTICES.get(model.id if hasattr(model, "id") else id(model))
+def _lattice(shared) -> Lattice:
+    """The lattice of a broadcast model, by the model's digest; a worker process keeps that of the last model."""
+    model = shared.value
+    found = _LATTICES.get(model["digest"])
     if found is None:
         _LATTICES.clear()
-        found = _LATTICES[model.id if hasattr(model, "id") else id(model)] = Lattice(model.value)
+        found = _LATTICES[model["digest"]] = Lattice(model)
     return found
 
 
+def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in groups of about SLICE bytes of a text column."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        limit = (ends[first - 1] if first else 0) + SLICE
+        last = max(first + 1, int(np.searchsorted(ends, limit, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
+Matrix = tuple[np.ndarray, np.ndarray | None]
+
+
 def combine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Max-plus product."""
     return (x[:, :, None] + y[None, :, :]).max(1)
 
 
-def boundary_states(matrices: list[tuple[np.ndarray, np.ndarray | None]]) -> list[int]:
-    """State at each inner boundary on the best path through all chunks, from prefix products of the matrices."""
-    ahead = [np.zeros((1, 1))]
+def times(x: Matrix, y: Matrix) -> Matrix:
+    """Product of two matrices, each whole or the outer sum of two vectors."""
+    (a, b), (c, d) = x, y
+    if b is not None:
+        return (a + (b + c).max(), d) if d is not None else (a, (b[:, None] + c).max(0))
+    return ((a + c[None, :]).max(1), d) if d is not None else (combine(a, c), None)
+
+
+def product(matrices: list[Matrix]) -> Matrix:
+    out = matrices[0]
+    for m in matrices[1:]:
+        out = times(out, m)
+    return out
+
+
+def boundary_states(matrices: list[Matrix], first: int = 0, last: int | None = None) -> list[int]:
+    """State at each inner boundary on the best path through a range of chunks.
+
+    ``first`` is the state at its left end, ``last`` that at its right end, by default the best one. Ties go to the lower state.
+    """
+    ahead = None
+    rows = []
     for enter, leave in matrices:
-        step = enter if leave is None else (ahead[-1] + enter[None, :]).max() + leave[None, :]
-        ahead.append(combine(ahead[-1], step) if leave is None else step)
-    state, out = int(np.argmax(ahead[-1][0])), []
+        if ahead is None:
+            step = enter[first] if leave is None else enter[first] + leave
+        else:
+            step = (ahead[:, None] + enter).max(0) if leave is None else (ahead + enter).max() + leave
+        rows.append(step)
+        ahead = step
+    state, out = int(np.argmax(ahead)) if last is None else last, []
     for k in range(len(matrices) - 1, 0, -1):
         enter, leave = matrices[k]
-        state = int(np.argmax(ahead[k][0] + (enter[:, state] if leave is None else enter)))
+        state = int(np.argmax(rows[k - 1] + (enter[:, state] if leave is None else enter)))
         out.append(state)
     return out[::-1]
 
 
 def _escaped(text, dummy: bool):
-    marked = F.translate(text, " ", MARK)
+    marked = F.replace(text, F.lit(" "), F.lit(MARK))
     return F.when(F.length(text) > 0, F.concat(F.lit(MARK), marked) if dummy else marked).otherwise("")
 
 
-def chunks(docs: DataFrame, model: dict, key: str, text: str, chunk: int, margin: int) -> DataFrame:
-    """key, digest, chunk, chunks, lead, size, part: slices of the escaped text with ``margin`` characters on either side.
+def escaped_texts(docs: DataFrame, model: dict, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("key"), _escaped(F.coalesce(F.col(text).cast("string"), F.lit("")), model["dummy"]).alias("t"))
+
 
-    ``digest`` is the SHA-256 of a text of several chunks, null for others.
+def chunks(whole: DataFrame, chunk: int, margin: int) -> DataFrame:
+    """key, digest, chunk, chunks, lead, size, part: slices of texts longer than a chunk, with ``margin`` characters on either side.
+
+    ``digest`` is the SHA-256 of the whole text.
     """
-    whole = docs.select(F.col(key).alias("key"), _escaped(F.coalesce(F.col(text).cast("string"), F.lit("")), model["dummy"]).alias("t"))
-    n = F.greatest(F.lit(1), F.ceil(F.length("t") / chunk)).cast("int")
-    whole = whole.withColumn("chunks", n).withColumn("digest", F.when(F.col("chunks") > 1, F.sha2("t", 256)))
+    long = whole.where(F.length("t") > chunk).withColumn("digest", F.sha2("t", 256)).withColumn("chunks", F.ceil(F.length("t") / chunk).cast("int"))
 
     def cut(i):
         start = i * chunk
         lead = F.least(start, F.lit(margin))
-        return F.struct(i.alias("chunk"), lead.alias("lead"), F.greatest(F.lit(0), F.least(F.lit(chunk), F.length("t") - start)).alias("size"),
-                        F.when(F.col("chunks") == 1, F.col("t")).otherwise(F.substring("t", start - lead + 1, lead + chunk + margin)).alias("part"))
+        return F.struct(i.alias("chunk"), lead.alias("lead"), F.least(F.lit(chunk), F.length("t") - start).alias("size"),
+                        F.substring("t", start - lead + 1, lead + chunk + margin).alias("part"))
+
+    return long.select("key", "digest", "chunks", F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), cut)).alias("c")).select("key", "digest", "chunks", "c.*")
+
 
-    return whole.select("key", "digest", "chunks", F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), cut)).alias("c")).select("key", "digest", "chunks", "c.*")
+def _matrices(group: pd.DataFrame) -> list[Matrix]:
+    return [(np.array(e, float).reshape(n, -1) if x is None else np.array(e, float), None if x is None else np.array(x, float))
+            for e, x, n in zip(group["enter"], group["leave"], group["rows"])]
+
+
+def scan_states(matrices: DataFrame, kind: str, most: int) -> DataFrame:
+    """(key, digest, chunk, i, j): the states at both ends of every chunk, from one matrix for each chunk.
+
+    Products of FAN neighbours, then of FAN products, until one range holds ``most`` chunks; then back down, range by range.
+    A task has FAN matrices at a time, whatever the length of a text.
+    """
+    same = ["key", "digest", "range"]
+    columns = f"key {kind}, digest string, chunk int, enter array<double>, leave array<double>, rows int"
+    ranged = F.floor(F.col("chunk") / FAN).cast("int").alias("range")
+
+    def multiply(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("chunk")
+        enter, leave = product(_matrices(group))
+        first = group.iloc[:1]
+        return pd.DataFrame({"key": first["key"], "digest": first["digest"], "chunk": first["range"], "enter": [enter.ravel().tolist()],
+                             "leave": [None if leave is None else leave.tolist()], "rows": [len(enter)]})
+
+    def resolve(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("chunk")
+        first, last = int(group["i"].iloc[0]), int(group["j"].iloc[0])
+        inner = boundary_states(_matrices(group), first, last)
+        return pd.DataFrame({"key": group["key"], "digest": group["digest"], "chunk": group["chunk"], "i": [first, *inner], "j": [*inner, last]})
+
+    levels = [matrices.select("key", "digest", "chunk", "enter", "leave", "rows")]
+    while most > FAN:
+        below = levels[-1].select("*", ranged)
+        levels.append(stage(below.groupBy(*same).applyInPandas(multiply, columns), "piece-products"))
+        most = -(-most // FAN)
+    states = None
+    for level in reversed(levels):
+        rows = level.select("*", ranged)
+        if states is None:  # the whole text: one state before its first character and one behind its last
+            rows = rows.select("*", F.lit(0).alias("i"), F.lit(0).alias("j"))
+        else:
+            ends = states.select(F.col("key").alias("of"), F.col("digest").alias("of_text"), F.col("chunk").alias("of_range"), "i", "j")
+            rows = rows.join(ends, F.col("key").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_text")) & (F.col("range") == F.col("of_range"))).drop(
+                "of", "of_text", "of_range")
+        states = rows.groupBy(*same).applyInPandas(resolve, f"key {kind}, digest string, chunk int, i int, j int")
+    return states
 
 
 def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", chunk: int = CHUNK, model: dict | None = None) -> DataFrame:
@@ -316,7 +418,8 @@ def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
 
     A null or empty text has no pieces. Keys are taken as they are and may be null or repeated: a text longer
     than a chunk is identified by its key and digest, encoded once and returned as often as it occurs.
-    Characters outside the vocabulary become byte pieces if the model has them, else the unknown piece.
+    Characters outside the vocabulary become byte pieces if the model has them, else the unknown piece. Which of several
+    unigram paths with the best sum is taken may depend on where chunks end. Further columns of ``docs`` are not read.
     """
     spark = docs.sparkSession
     model = model or read_model(model_file)
@@ -326,51 +429,53 @@ def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
         raise ValueError(f"a chunk needs at least {2 * margin} characters")
     kind = dict(docs.select(F.col(key).alias("key")).dtypes)["key"]
 
+    def listed(encoded: Iterator[list[int]]) -> pa.ListArray:
+        flat, ends = array("i"), [0]
+        for numbers in encoded:
+            flat.extend(numbers)
+            ends.append(len(flat))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32)))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = _lattice(shared)
+        for batch in batches:
+            for rows in _slices(batch, "t"):
+                pieces = listed(lattice.encode(t, 0, len(t)) if t else [] for t in rows["t"].to_pylist())
+                yield pa.RecordBatch.from_arrays([rows["key"], pieces], ["key", "pieces"])
+
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(shared)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
-                flat, ends = array("i"), [0]
+            for rows in _slices(batch, "part"):
                 cols = [rows[c].to_pylist() for c in ("part", "lead", "size", "i", "j")]
-                for part, lead, size, i, j in zip(*cols):
-                    flat.extend(lattice.encode(part, lead, lead + size, i, j) if size else [])
-                    ends.append(len(flat))
-                yield pa.RecordBatch.from_arrays([rows["key"], rows["digest"], rows["chunks"], rows["chunk"], pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32)))],
-                    ["key", "digest", "chunks", "chunk", "pieces"])
-
-    traced = f"key {kind}, digest string, chunks int, chunk int, pieces array<int>"
-    cut = chunks(docs, model, key, text, chunk, margin)
-    one = cut.where("chunks = 1").select("key", "digest", "chunks", "chunk", "lead", "size", "part", F.lit(0).alias("i"), F.lit(0).alias("j"))
-    short = one.mapInArrow(trace, traced).select("key", "pieces")
+                pieces = listed(lattice.encode(part, lead, lead + size, i, j) for part, lead, size, i, j in zip(*cols))
+                yield pa.RecordBatch.from_arrays([rows["key"], rows["digest"], rows["chunk"], pieces], ["key", "digest", "chunk", "pieces"])
 
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(shared)
         for batch in batches:
-            found = [lattice.matrix(p, a, a + n) for p, a, n in zip(*[batch[c].to_pylist() for c in ("part", "lead", "size")])]
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["digest"], batch["chunk"], pa.array([e.ravel().tolist() for e, _ in found], pa.list_(pa.float64())),
-                                              pa.array([None if x is None else x.tolist() for _, x in found], pa.list_(pa.float64())),
-                                              pa.array([len(e) for e, _ in found], pa.int32())], ["key", "digest", "chunk", "enter", "leave", "rows"])
-
-    def scan(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("chunk")
-        matrices = [(np.array(e, float).reshape(n, -1) if x is None else np.array(e, float), None if x is None else np.array(x, float))
-                    for e, x, n in zip(group["enter"], group["leave"], group["rows"])]
-        inner = boundary_states(matrices)
-        return pd.DataFrame({"key": group["key"], "digest": group["digest"], "chunk": group["chunk"], "i": [0, *inner], "j": [*inner, 0]})
-
-    many = cut.where("chunks > 1").repartition("key", "digest", "chunk").dropDuplicates(["key", "digest", "chunk"])
-    states = (many.select("key", "digest", "chunk", "lead", "size", "part")
-              .mapInArrow(transfer, f"key {kind}, digest string, chunk int, enter array<double>, leave array<double>, rows int")
-              .groupBy("key", "digest").applyInPandas(scan, f"key {kind}, digest string, chunk int, i int, j int")
-              .select(F.col("key").alias("of"), F.col("digest").alias("of_text"), F.col("chunk").alias("at"), "i", "j"))
+            for rows in _slices(batch, "part"):
+                found = [lattice.matrix(p, a, a + n) for p, a, n in zip(*[rows[c].to_pylist() for c in ("part", "lead", "size")])]
+                yield pa.RecordBatch.from_arrays([rows["key"], rows["digest"], rows["chunk"], pa.array([e.ravel().tolist() for e, _ in found], pa.list_(pa.float64())),
+                                                  pa.array([None if x is None else x.tolist() for _, x in found], pa.list_(pa.float64())),
+                                                  pa.array([len(e) for e, _ in found], pa.int32())], ["key", "digest", "chunk", "enter", "leave", "rows"])
+
+    texts = escaped_texts(docs, model, key, text)
+    short = texts.where(F.length("t") <= chunk).mapInArrow(whole, f"key {kind}, pieces array<int>")
+    cut = stage(chunks(texts, chunk, margin), "piece-chunks")  # only of long texts, and read by key alone where that is enough
+    most = cut.agg(F.max("chunks")).first()[0]
+    if most is None:
+        return short
+    once = cut.dropDuplicates(["key", "digest", "chunk"])
+    matrices = stage(once.select("key", "digest", "chunk", "lead", "size", "part")
+                     .mapInArrow(transfer, f"key {kind}, digest string, chunk int, enter array<double>, leave array<double>, rows int"), "piece-matrices")
+    states = scan_states(matrices, kind, most).select(F.col("key").alias("of"), F.col("digest").alias("of_text"), F.col("chunk").alias("at"), "i", "j")
     same = F.col("key").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_text"))
-    placed = many.join(states, same & (F.col("chunk") == F.col("at")))
-    long = placed.select("key", "digest", "chunks", "chunk", "lead", "size", "part", "i", "j").mapInArrow(trace, traced)
+    placed = once.join(states, same & (F.col("chunk") == F.col("at")))
+    long = placed.select("key", "digest", "chunk", "lead", "size", "part", "i", "j").mapInArrow(trace, f"key {kind}, digest string, chunk int, pieces array<int>")
     long = long.groupBy("key", "digest").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "pieces"))), lambda x: x["pieces"])).alias("pieces"))
-    times = cut.where("chunks > 1 AND chunk = 0").groupBy(F.col("key").alias("of"), F.col("digest").alias("of_text")).agg(F.count(F.lit(1)).alias("n"))
-    long = (long.join(times, same).select("key", "pieces", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_"))
+    copies = cut.where("chunk = 0").groupBy(F.col("key").alias("of"), F.col("digest").alias("of_text")).agg(F.count(F.lit(1)).alias("n"))
+    long = (long.join(copies, same).select("key", "pieces", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_"))
             .select("key", "pieces"))
     return short.union(long)
 
@@ -390,7 +495,7 @@ def decode(encoded: DataFrame, model_file: str, pieces: str = "pieces", out: str
                  for i, name in enumerate(lattice.names)]
         done = []
         for a in arrays:
-            text = None if a is None else b"".join([table[i] for i in a]).decode("utf-8", "replace")
+            text = None if a is None else b"".join(map(table.__getitem__, a.tolist())).decode("utf-8", "replace")
             done.append(text[1:] if text and lattice.dummy and text[0] == " " else text)
         return pd.Series(done, dtype=object)
 

@@ -147,13 +147,30 @@ def test_pieces_equal_the_library(spark, chunk):
         assert list(r.pieces) == want[r.key] and r.text == (texts[r.key] or "").replace("▁", " ")
 
 
-def test_unigram_scores_equal_the_library():
+def unigram_model():
     from sentencepiece import sentencepiece_model_pb2 as pb
 
     proto = pb.ModelProto()
     with open(PIECES, "rb") as f:
         proto.ParseFromString(f.read())
     proto.trainer_spec.model_type = sentence_pieces.UNIGRAM
+    return proto
+
+
+def best_sum(text, scores, longest, unknown):
+    """Viterbi over all places of the text, in double precision."""
+    best = [0.0] + [-float("inf")] * len(text)
+    for i in range(1, len(text) + 1):
+        best[i] = best[i - 1] + scores.get(text[i - 1], unknown)
+        for a in range(max(0, i - longest), i - 1):
+            if text[a:i] in scores:
+                best[i] = max(best[i], best[a] + scores[text[a:i]])
+    return best[-1]
+
+
+def test_unigram_paths_have_the_best_sum():
+    """The best of all paths, and never below the library's (whose ``encode`` misses some that its own n-best list has first)."""
+    proto = unigram_model()
     library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
     lattice = sentence_pieces.Lattice(sentence_pieces.parse_model(proto))
     score = {i: p.score for i, p in enumerate(proto.pieces)}
@@ -165,7 +182,11 @@ def test_unigram_scores_equal_the_library():
         got = [x for (p, a, n), i, j in zip(parts, [0, *inner], [*inner, 0]) for x in lattice.encode(p, a, a + n, i, j)]
         want = library.encode(text)
         assert library.decode(got) == library.decode(want)
-        assert sum(score[x] for x in got) == pytest.approx(sum(score[x] for x in want))
+        normal = all(x in lattice.scores for x in t)
+        if normal:
+            assert sum(score[x] for x in got) == best_sum(t, lattice.scores, lattice.longest, lattice.lowest)
+        assert sum(score[x] for x in got) >= sum(score[x] for x in want)
+    assert library.nbest_encode("the", nbest_size=3)[0] == lattice.encode("▁the", 0, 4)
 
 
 def test_max_plus_product_is_associative():
@@ -174,6 +195,60 @@ def test_max_plus_product_is_associative():
     assert np.allclose(sentence_pieces.combine(sentence_pieces.combine(a, b), c), sentence_pieces.combine(a, sentence_pieces.combine(b, c)))
 
 
+def random_matrices(rng, n):
+    sizes = [1, *rng.integers(1, 5, n - 1).tolist(), 1]
+    return [(rng.random(x), rng.random(y)) if rng.random() < 0.4 else (rng.random((x, y)), None) for x, y in zip(sizes, sizes[1:])]
+
+
+def test_products_of_ranges_equal_the_product_of_all():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        all_ = random_matrices(rng, int(rng.integers(2, 20)))
+        full = [e if x is None else e[:, None] + x[None, :] for e, x in all_]
+        want = full[0]
+        for m in full[1:]:
+            want = sentence_pieces.combine(want, m)
+        cut = int(rng.integers(1, len(all_)))
+        enter, leave = sentence_pieces.times(sentence_pieces.product(all_[:cut]), sentence_pieces.product(all_[cut:]))
+        assert np.allclose(enter if leave is None else enter[:, None] + leave[None, :], want)
+
+
+@pytest.mark.parametrize("fan", [2, 3, 64])
+def test_states_by_a_tree_of_products_equal_those_of_one_sweep(spark, monkeypatch, fan):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(sentence_pieces, "FAN", fan)
+    texts = {k: random_matrices(rng, n) for k, n in ((1, 2), (2, 7), (None, 30))}
+    rows = [(k, "d", i, e.ravel().tolist(), None if x is None else x.tolist(), len(e)) for k, ms in texts.items() for i, (e, x) in enumerate(ms)]
+    frame = spark.createDataFrame(rows, "key long, digest string, chunk int, enter array<double>, leave array<double>, rows int")
+    got = {(r.key, r.chunk): (r.i, r.j) for r in sentence_pieces.scan_states(frame, "bigint", 30).collect()}
+    for k, ms in texts.items():
+        inner = sentence_pieces.boundary_states(ms)
+        assert [got[k, c] for c in range(len(ms))] == list(zip([0, *inner], [*inner, 0]))
+
+
+def test_two_models_in_one_session(spark):
+    """Workers keep the lattice of a model by its digest: each text is encoded with its own model."""
+    unigram = sentence_pieces.parse_model(unigram_model())
+    frame = spark.createDataFrame([(0, "of the other the")], "doc_id long, text string")
+    lattices = [sentence_pieces.Lattice(m) for m in (sentence_pieces.read_model(PIECES), unigram)]
+    t = "▁of▁the▁other▁the"
+    want = [list(m.encode(t, 0, len(t))) for m in lattices]
+    assert want[0] != want[1]
+    for _ in range(3):
+        assert list(sentence_pieces.encode(frame, PIECES).first().pieces) == want[0]
+        assert list(sentence_pieces.encode(frame, "", model=unigram).first().pieces) == want[1]
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "REMEMBER", 50)
+    monkeypatch.setattr(sentence_pieces, "PAIRS", 50)
+    lattice, library = sentence_pieces.Lattice(sentence_pieces.read_model(PIECES)), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for text in [prose(50 + i, 200) for i in range(5)]:
+        t = "▁" + text.replace(" ", "▁")
+        assert list(lattice.encode(t, 0, len(t))) == library.encode(text)
+        assert len(lattice.words) <= 50 and len(lattice.older) <= 50 and len(lattice.pairs) <= 51
+
+
 def test_pieces_awkward_rows(spark):
     docs = awkward(spark)
     keyed = docs.select(F.struct("doc_id", "source").alias("doc_key"), "text", "part", "size")
