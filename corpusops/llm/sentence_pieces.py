@@ -34,7 +34,7 @@ from ..session import stage
 #: characters of a chunk; chunks (then ranges of them) that are combined in one task
 CHUNK, FAN = 1 << 15, 64
 #: words a process remembers (twice that for a while), each about 250 bytes; pairs of pieces; bytes of text worked on at once
-REMEMBER, PAIRS, SLICE = 100_000, 50_000, 1 << 20
+REMEMBER, PAIRS, SLICE = 150_000, 50_000, 1 << 20
 #: longer stretches without a space are traced, not merged, which takes time with the square of their length
 MERGED = 64
 MARK = "▁"
@@ -76,6 +76,7 @@ class Lattice:
         self.control = {i for i, (_, _, kind) in enumerate(model["pieces"]) if kind == 3}
         self.longest = max(map(len, self.ids), default=1)
         self.lowest = min(self.scores.values(), default=0.0) - 10.0
+        self.none = float("-inf")
         #: without such a piece no path can run across the place before a space mark
         self.cuts = all(MARK not in p.lstrip(MARK) for p in self.ids)
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -85,16 +86,19 @@ class Lattice:
 
     def merge(self, text: str) -> list[str]:
         """The pieces of a short text by merging: best score first, leftmost among equals."""
-        parts, scores = list(text), self.scores
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = scores.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
+        parts, get, none = list(text), self.scores.get, self.none
+        scores = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while scores:
+            best = max(scores)
+            if best == none:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            i = scores.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i < len(scores):
+                scores[i] = get(parts[i] + parts[i + 1], none)
+            if i:
+                scores[i - 1] = get(parts[i - 1] + parts[i], none)
         return parts
 
     def allowed(self, left: str, right: str) -> bool:
@@ -347,16 +351,17 @@ def _escaped(text, dummy: bool):
     return F.when(F.length(text) > 0, F.concat(F.lit(MARK), marked) if dummy else marked).otherwise("")
 
 
-def escaped_texts(docs: DataFrame, model: dict, key: str, text: str) -> DataFrame:
-    return docs.select(F.col(key).alias("key"), _escaped(F.coalesce(F.col(text).cast("string"), F.lit("")), model["dummy"]).alias("t"))
+def escaped_texts(docs: DataFrame, model: dict, key: str, text: str, longer: int | None = None, up_to: int | None = None) -> DataFrame:
+    """key and t, the text as the model sees it, of texts longer than a number of characters or up to it."""
+    plain = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    size = F.length(plain) + int(model["dummy"])
+    rows = docs.where(size > longer) if longer is not None else docs.where(size <= up_to)
+    return rows.select(F.col(key).alias("key"), _escaped(plain, model["dummy"]).alias("t"))
 
 
-def chunks(whole: DataFrame, chunk: int, margin: int) -> DataFrame:
-    """key, digest, chunk, chunks, lead, size, part: slices of texts longer than a chunk, with ``margin`` characters on either side.
-
-    ``digest`` is the SHA-256 of the whole text.
-    """
-    long = whole.where(F.length("t") > chunk).withColumn("digest", F.sha2("t", 256)).withColumn("chunks", F.ceil(F.length("t") / chunk).cast("int"))
+def chunks(long: DataFrame, chunk: int, margin: int) -> DataFrame:
+    """id, key, chunk, chunks, lead, size, part: slices of texts, with ``margin`` characters on either side; the id is that of the row."""
+    long = long.withColumn("id", F.monotonically_increasing_id()).withColumn("chunks", F.ceil(F.length("t") / chunk).cast("int"))
 
     def cut(i):
         start = i * chunk
@@ -364,7 +369,7 @@ def chunks(whole: DataFrame, chunk: int, margin: int) -> DataFrame:
         return F.struct(i.alias("chunk"), lead.alias("lead"), F.least(F.lit(chunk), F.length("t") - start).alias("size"),
                         F.substring("t", start - lead + 1, lead + chunk + margin).alias("part"))
 
-    return long.select("key", "digest", "chunks", F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), cut)).alias("c")).select("key", "digest", "chunks", "c.*")
+    return long.select("id", "key", "chunks", F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), cut)).alias("c")).select("id", "key", "chunks", "c.*")
 
 
 def _matrices(group: pd.DataFrame) -> list[Matrix]:
@@ -372,33 +377,32 @@ def _matrices(group: pd.DataFrame) -> list[Matrix]:
             for e, x, n in zip(group["enter"], group["leave"], group["rows"])]
 
 
-def scan_states(matrices: DataFrame, kind: str, most: int) -> DataFrame:
-    """(key, digest, chunk, i, j): the states at both ends of every chunk, from one matrix for each chunk.
+def scan_states(matrices: DataFrame, most: int) -> DataFrame:
+    """(id, chunk, i, j): the states at both ends of every chunk, from one matrix for each chunk.
 
     Products of FAN neighbours, then of FAN products, until one range holds ``most`` chunks; then back down, range by range.
     A task has FAN matrices at a time, whatever the length of a text.
     """
-    same = ["key", "digest", "range"]
-    columns = f"key {kind}, digest string, chunk int, enter array<double>, leave array<double>, rows int"
+    columns = "id long, chunk int, enter array<double>, leave array<double>, rows int"
     ranged = F.floor(F.col("chunk") / FAN).cast("int").alias("range")
 
     def multiply(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("chunk")
         enter, leave = product(_matrices(group))
         first = group.iloc[:1]
-        return pd.DataFrame({"key": first["key"], "digest": first["digest"], "chunk": first["range"], "enter": [enter.ravel().tolist()],
+        return pd.DataFrame({"id": first["id"], "chunk": first["range"], "enter": [enter.ravel().tolist()],
                              "leave": [None if leave is None else leave.tolist()], "rows": [len(enter)]})
 
     def resolve(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("chunk")
         first, last = int(group["i"].iloc[0]), int(group["j"].iloc[0])
         inner = boundary_states(_matrices(group), first, last)
-        return pd.DataFrame({"key": group["key"], "digest": group["digest"], "chunk": group["chunk"], "i": [first, *inner], "j": [*inner, last]})
+        return pd.DataFrame({"id": group["id"], "chunk": group["chunk"], "i": [first, *inner], "j": [*inner, last]})
 
-    levels = [matrices.select("key", "digest", "chunk", "enter", "leave", "rows")]
+    levels = [matrices.select("id", "chunk", "enter", "leave", "rows")]
     while most > FAN:
         below = levels[-1].select("*", ranged)
-        levels.append(stage(below.groupBy(*same).applyInPandas(multiply, columns), "piece-products"))
+        levels.append(stage(below.groupBy("id", "range").applyInPandas(multiply, columns), "piece-products"))
         most = -(-most // FAN)
     states = None
     for level in reversed(levels):
@@ -406,18 +410,17 @@ def scan_states(matrices: DataFrame, kind: str, most: int) -> DataFrame:
         if states is None:  # the whole text: one state before its first character and one behind its last
             rows = rows.select("*", F.lit(0).alias("i"), F.lit(0).alias("j"))
         else:
-            ends = states.select(F.col("key").alias("of"), F.col("digest").alias("of_text"), F.col("chunk").alias("of_range"), "i", "j")
-            rows = rows.join(ends, F.col("key").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_text")) & (F.col("range") == F.col("of_range"))).drop(
-                "of", "of_text", "of_range")
-        states = rows.groupBy(*same).applyInPandas(resolve, f"key {kind}, digest string, chunk int, i int, j int")
+            ends = states.select(F.col("id").alias("of"), F.col("chunk").alias("of_range"), "i", "j")
+            rows = rows.join(ends, (F.col("id") == F.col("of")) & (F.col("range") == F.col("of_range"))).drop("of", "of_range")
+        states = rows.groupBy("id", "range").applyInPandas(resolve, "id long, chunk int, i int, j int")
     return states
 
 
 def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", chunk: int = CHUNK, model: dict | None = None) -> DataFrame:
     """One row per document: key and ``pieces``, the piece numbers in order.
 
-    A null or empty text has no pieces. Keys are taken as they are and may be null or repeated: a text longer
-    than a chunk is identified by its key and digest, encoded once and returned as often as it occurs.
+    A null or empty text has no pieces. Keys are taken as they are and may be null or repeated; a text longer
+    than a chunk gets a number of its own when its chunks are written.
     Characters outside the vocabulary become byte pieces if the model has them, else the unknown piece. Which of several
     unigram paths with the best sum is taken may depend on where chunks end. Further columns of ``docs`` are not read.
     """
@@ -449,35 +452,30 @@ def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
             for rows in _slices(batch, "part"):
                 cols = [rows[c].to_pylist() for c in ("part", "lead", "size", "i", "j")]
                 pieces = listed(lattice.encode(part, lead, lead + size, i, j) for part, lead, size, i, j in zip(*cols))
-                yield pa.RecordBatch.from_arrays([rows["key"], rows["digest"], rows["chunk"], pieces], ["key", "digest", "chunk", "pieces"])
+                yield pa.RecordBatch.from_arrays([rows["id"], rows["key"], rows["chunk"], pieces], ["id", "key", "chunk", "pieces"])
 
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(shared)
         for batch in batches:
             for rows in _slices(batch, "part"):
                 found = [lattice.matrix(p, a, a + n) for p, a, n in zip(*[rows[c].to_pylist() for c in ("part", "lead", "size")])]
-                yield pa.RecordBatch.from_arrays([rows["key"], rows["digest"], rows["chunk"], pa.array([e.ravel().tolist() for e, _ in found], pa.list_(pa.float64())),
+                yield pa.RecordBatch.from_arrays([rows["id"], rows["chunk"], pa.array([e.ravel().tolist() for e, _ in found], pa.list_(pa.float64())),
                                                   pa.array([None if x is None else x.tolist() for _, x in found], pa.list_(pa.float64())),
-                                                  pa.array([len(e) for e, _ in found], pa.int32())], ["key", "digest", "chunk", "enter", "leave", "rows"])
+                                                  pa.array([len(e) for e, _ in found], pa.int32())], ["id", "chunk", "enter", "leave", "rows"])
 
-    texts = escaped_texts(docs, model, key, text)
-    short = texts.where(F.length("t") <= chunk).mapInArrow(whole, f"key {kind}, pieces array<int>")
-    cut = stage(chunks(texts, chunk, margin), "piece-chunks")  # only of long texts, and read by key alone where that is enough
+    short = escaped_texts(docs, model, key, text, up_to=chunk).mapInArrow(whole, f"key {kind}, pieces array<int>")
+    cut = stage(chunks(escaped_texts(docs, model, key, text, longer=chunk), chunk, margin), "piece-chunks")
     most = cut.agg(F.max("chunks")).first()[0]
     if most is None:
         return short
-    once = cut.dropDuplicates(["key", "digest", "chunk"])
-    matrices = stage(once.select("key", "digest", "chunk", "lead", "size", "part")
-                     .mapInArrow(transfer, f"key {kind}, digest string, chunk int, enter array<double>, leave array<double>, rows int"), "piece-matrices")
-    states = scan_states(matrices, kind, most).select(F.col("key").alias("of"), F.col("digest").alias("of_text"), F.col("chunk").alias("at"), "i", "j")
-    same = F.col("key").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_text"))
-    placed = once.join(states, same & (F.col("chunk") == F.col("at")))
-    long = placed.select("key", "digest", "chunk", "lead", "size", "part", "i", "j").mapInArrow(trace, f"key {kind}, digest string, chunk int, pieces array<int>")
-    long = long.groupBy("key", "digest").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "pieces"))), lambda x: x["pieces"])).alias("pieces"))
-    copies = cut.where("chunk = 0").groupBy(F.col("key").alias("of"), F.col("digest").alias("of_text")).agg(F.count(F.lit(1)).alias("n"))
-    long = (long.join(copies, same).select("key", "pieces", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_"))
-            .select("key", "pieces"))
-    return short.union(long)
+    matrices = stage(cut.select("id", "chunk", "lead", "size", "part")
+                     .mapInArrow(transfer, "id long, chunk int, enter array<double>, leave array<double>, rows int"), "piece-matrices")
+    states = stage(scan_states(matrices, most), "piece-states").select(F.col("id").alias("of"), F.col("chunk").alias("at"), "i", "j")
+    placed = cut.join(states, (F.col("id") == F.col("of")) & (F.col("chunk") == F.col("at")))
+    long = placed.select("id", "key", "chunk", "lead", "size", "part", "i", "j").mapInArrow(trace, f"id long, key {kind}, chunk int, pieces array<int>")
+    long = long.groupBy("id").agg(F.first("key").alias("key"), F.flatten(F.transform(
+        F.array_sort(F.collect_list(F.struct("chunk", "pieces"))), lambda x: x["pieces"])).alias("pieces"))
+    return short.union(long.select("key", "pieces"))
 
 
 def decode(encoded: DataFrame, model_file: str, pieces: str = "pieces", out: str = "text", model: dict | None = None) -> DataFrame:

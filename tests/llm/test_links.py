@@ -217,10 +217,10 @@ def test_products_of_ranges_equal_the_product_of_all():
 def test_states_by_a_tree_of_products_equal_those_of_one_sweep(spark, monkeypatch, fan):
     rng = np.random.default_rng(3)
     monkeypatch.setattr(sentence_pieces, "FAN", fan)
-    texts = {k: random_matrices(rng, n) for k, n in ((1, 2), (2, 7), (None, 30))}
-    rows = [(k, "d", i, e.ravel().tolist(), None if x is None else x.tolist(), len(e)) for k, ms in texts.items() for i, (e, x) in enumerate(ms)]
-    frame = spark.createDataFrame(rows, "key long, digest string, chunk int, enter array<double>, leave array<double>, rows int")
-    got = {(r.key, r.chunk): (r.i, r.j) for r in sentence_pieces.scan_states(frame, "bigint", 30).collect()}
+    texts = {k: random_matrices(rng, n) for k, n in ((1, 2), (2, 7), (3, 30))}
+    rows = [(k, i, e.ravel().tolist(), None if x is None else x.tolist(), len(e)) for k, ms in texts.items() for i, (e, x) in enumerate(ms)]
+    frame = spark.createDataFrame(rows, "id long, chunk int, enter array<double>, leave array<double>, rows int")
+    got = {(r.id, r.chunk): (r.i, r.j) for r in sentence_pieces.scan_states(frame, 30).collect()}
     for k, ms in texts.items():
         inner = sentence_pieces.boundary_states(ms)
         assert [got[k, c] for c in range(len(ms))] == list(zip([0, *inner], [*inner, 0]))
