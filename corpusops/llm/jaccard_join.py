@@ -5,12 +5,12 @@
 2. A second pass orders every set from rare to common shingles and posts its first
    ``n - ceil(t * n) + 1``: two sets that reach the threshold ``t`` share one of them. Posts are laid out
    in tiles of (shingle, size band); a band spans a ratio above ``1 / t``, so a partner is in the same
-   band or a neighbouring one. Tiles with one node are dropped.
+   band or a neighbouring one. Tiles with one node are dropped. A pair is tried where the places of the shared shingle leave
+   room for the overlap it needs, as if no earlier one were shared: so it is tried at its first shared shingle, and seldom at others.
 3. A parity bitmap per node bounds the overlap from above: sets differ at least in as many elements as
    their bitmaps differ in bits. Pairs that pass are verified by intersecting the sorted arrays.
-4. First every node is held against the smallest node of its tiles, and linked nodes are contracted; a
-   group of near copies collapses here without its pairs being listed. Then all pairs of a tile that
-   are not yet in one component are tried, so no link between components is missed.
+4. In a few rounds, every node is held against one node of each of its tiles, of the component with most nodes there, and
+   linked nodes are contracted; groups of near copies collapse here without their pairs being listed. Then all pairs of a tile that are not yet in one component are tried, so no link between components is missed.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ CELLS, BITS = 1 << 18, 512
 #: up to so many ids (about 20 MB) the texts to verify are picked by a broadcast join, beyond by a shuffle join
 BROADCAST_IDS = 1_000_000
 WORDS64 = BITS // 64
+#: rounds of contraction at most; what they leave is tried pair by pair
+ROUNDS = 4
 
 
 def text_digest(text: Column) -> Column:
@@ -126,6 +128,17 @@ def _verify(percent: int):
     return run
 
 
+def _needed(n1: Column, n2: Column, percent: int) -> Column:
+    """Least overlap of two sets that link, times (100 + percent)."""
+    return percent * (n1 + n2)
+
+
+def _room(n1: Column, at1: Column, n2: Column, at2: Column, percent: int) -> Column:
+    """Sizes and places of a shared shingle that leave room for the overlap, if none before it is shared."""
+    sizes = (100 * F.least(n1, n2)) >= (percent * F.greatest(n1, n2))
+    return sizes & ((100 + percent) * F.least(n1 - at1, n2 - at2) >= _needed(n1, n2, percent))
+
+
 def _differing_bits(x: Column, y: Column) -> Column:
     out = F.lit(0)
     for i in range(WORDS64):
@@ -172,15 +185,18 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
         _post(width, percent, order), "doc_id long, node long, n long, posts array<long>, bits array<long>").where("n > 0"))
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent * 1.003))).cast("int")
     posted = stage(posted.select("node", "n", "bits", band.alias("band"), "posts"), "shingle-posts")
-    flat = posted.select("node", "band", F.explode("posts").alias("shingle"))
+    flat = posted.select("node", "n", "band", F.posexplode("posts").alias("at", "shingle"))
     # most shingles are posted once: counting them alone moves one number each, and only the others get tiles
     often = flat.groupBy(F.col("shingle").alias("s")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("s")
+    # a larger partner needs room for more than the set's own size in shares of it: only early shingles reach the next band
+    early = (100 + percent) * (F.col("n") - F.col("at")) >= _needed(F.col("n"), F.col("n"), percent)
+    places = F.array_compact(F.array(F.col("band"), F.when(early, F.col("band") + 1)))
     flat = stage(flat.join(often, F.col("shingle") == F.col("s"), "left_semi")
-                 .select("node", "band", "shingle", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("tile")), "shingle-shared")
+                 .select("node", "n", "band", "at", "shingle", F.explode(places).alias("tile")), "shingle-shared")
     shared = (flat.groupBy("shingle", "tile").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
-              .select(F.col("shingle").alias("s"), F.col("tile").alias("t"), "least"))
-    tiles = stage(flat.join(shared, (F.col("shingle") == F.col("s")) & (F.col("tile") == F.col("t")))
-                  .select("node", "band", "shingle", "tile", "least"), "shingle-tiles")
+              .select(F.col("shingle").alias("s"), F.col("tile").alias("t")))
+    tiles = stage(flat.join(shared, (F.col("shingle") == F.col("s")) & (F.col("tile") == F.col("t")), "left_semi")
+                  .select("node", "n", "band", "at", "shingle", "tile"), "shingle-tiles")
     drop_stages(flat)
     bits = stage(posted.select("node", "n", "bits").dropDuplicates(["node"]), "shingle-bits")
     drop_stages(posted)
@@ -188,8 +204,8 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
     def side(name: str) -> DataFrame:
         return bits.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """Links among candidate pairs (a, b) that passed the bitmaps; only their texts are made into arrays again."""
+    def verified(pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """Links among candidate pairs (a, b) that passed the bitmaps, and the pairs; only their texts are made into arrays again."""
         pairs = stage(pairs, f"{name}-pairs")
         wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
         wanted = stage(wanted.join(classes, F.col("w") == F.col("node")).select("w", F.col("class_id").alias("id")), f"{name}-wanted")
@@ -202,31 +218,54 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
         x = arrays.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
         y = arrays.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
         links = stage(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), f"{name}-links")
-        drop_stages(pairs, wanted, arrays)
-        return links
-
-    stars = tiles.where("least <> node").groupBy(F.col("node").alias("b")).agg(F.min("least").alias("a"))
-    stars = stars.join(side("a"), "a").join(side("b"), "b").where(
-        _may_link(F.col("n_a"), F.col("bits_a"), F.col("n_b"), F.col("bits_b"), percent)).select("a", "b")
-    links = verified(stars, "star")
-    roots = components(links)
-
-    named = (tiles.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
-             .select("node", "band", "shingle", "tile", F.coalesce("root", "node").alias("root")))
-    mixed = (named.groupBy("shingle", "tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-             .select(F.col("shingle").alias("s"), F.col("tile").alias("t")))
-    open_ = stage(named.join(mixed, (F.col("shingle") == F.col("s")) & (F.col("tile") == F.col("t")), "left_semi")
-                  .join(bits, "node"), "open-tiles")
-    left = open_.select(F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("bits").alias("ba"), "shingle", "tile")
-    right = open_.where("band = tile").select(F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"),
+        drop_stages(wanted, arrays)
+        return links, pairs
+
+    def rooted(roots: DataFrame | None, turn: int = 0) -> DataFrame:
+        """Tiles with the component of each node so far, those with several components only, and a node of the one with most nodes there.
+
+        Which of its nodes that is changes with the turn.
+        """
+        if roots is None:
+            named = tiles.withColumn("root", F.col("node"))
+        else:
+            named = (tiles.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+                     .select("node", "n", "band", "at", "shingle", "tile", F.coalesce("root", "node").alias("root")))
+        member = F.min(F.struct(F.xxhash64("node", "shingle", F.lit(turn)).alias("by"), "node", "n", "at")).alias("member")
+        parts = named.groupBy("shingle", "tile", "root").agg(F.count(F.lit(1)).alias("size"), member)
+        most = F.max(F.struct("size", (-F.col("root")).alias("order"), "root", "member.node", "member.n", "member.at")).alias("low")
+        mixed = parts.groupBy("shingle", "tile").agg(most, F.count(F.lit(1)).alias("parts")).where("parts > 1")
+        return named.join(mixed.select(F.col("shingle").alias("s"), F.col("tile").alias("t"), "low"), (F.col("shingle") == F.col("s")) & (F.col("tile") == F.col("t")))
+
+    links, roots, tried = None, None, None
+    for turn in range(ROUNDS):
+        low = F.col("low")
+        stars = rooted(roots, turn).where((F.col("root") != low["root"]) & _room(F.col("n"), F.col("at"), low["n"], low["at"], percent))
+        stars = stars.select(F.least("node", low["node"]).alias("a"), F.greatest("node", low["node"]).alias("b")).distinct()
+        if tried is not None:
+            stars = stars.join(tried, ["a", "b"], "left_anti")
+        stars = stars.join(side("a"), "a").join(side("b"), "b").where(
+            _may_link(F.col("n_a"), F.col("bits_a"), F.col("n_b"), F.col("bits_b"), percent)).select("a", "b")
+        found, pairs = verified(stars, "star")
+        tried = pairs if tried is None else tried.union(pairs)
+        if not found.count():
+            break
+        links = found if links is None else links.union(found)
+        roots = components(links)
+
+    open_ = stage(rooted(roots).select("node", "n", "band", "at", "shingle", "tile", "root").join(bits.select("node", "bits"), "node"), "open-tiles")
+    left = open_.select(F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("bits").alias("ba"), "shingle", "tile")
+    right = open_.where("band = tile").select(F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("at").alias("pb"),
                                               F.col("bits").alias("bb"), F.col("shingle").alias("s2"), F.col("tile").alias("t2"))
     drop_stages(tiles)
     smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    crossing = left.join(right, (F.col("shingle") == F.col("s2")) & (F.col("tile") == F.col("t2")) & (F.col("ra") != F.col("rb"))
-                         & smaller & _may_link(F.col("na"), F.col("ba"), F.col("nb"), F.col("bb"), percent)).select("a", "b").distinct()
-    crossed = verified(crossing, "cross")
+    crossing = left.join(right, (F.col("shingle") == F.col("s2")) & (F.col("tile") == F.col("t2")) & (F.col("ra") != F.col("rb")) & smaller
+                         & _room(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)
+                         & _may_link(F.col("na"), F.col("ba"), F.col("nb"), F.col("bb"), percent))
+    crossing = crossing.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    crossed, _ = verified(crossing, "cross")
     drop_stages(open_, bits)
-    links = crossed.union(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")))
+    links = crossed if links is None else crossed.union(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")))
     roots = components(links)
 
     named = classes.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
