@@ -141,11 +141,11 @@ def vote(latent: np.ndarray, labelled: np.ndarray, labels: np.ndarray, prior: fl
     return ((w * labels[top]).sum(1) + 1e-3 * prior) / (w.sum(1) + 1e-3)
 
 
-def _score(model, fields: list[str]):
+def _score(model, inner: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, directions, labelled, labels, prior = model.value
         for batch in batches:
-            text = batch["row"].field("text_") if "text_" in fields else batch["text"]
+            text = batch["row"].field(inner) if inner else batch["text"]
             out = [vote(_unit(weights(c, idf) @ directions), labelled, labels, prior) for c in counts(text)]
             yield pa.RecordBatch.from_arrays([batch["row"], pa.array(np.concatenate(out) if out else np.zeros(0))], ["row", "score"])
     return run
@@ -157,7 +157,8 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
     ``held_out``: crc32 of the id modulo ``folds`` is ``held_fold`` (false for a null id); labels
     (doc_id, quality) of such rows are never read. A document with several labels has the smallest, null
-    labels do not count. The score (0 to 1) depends on the text alone; a null or empty text, and every
+    labels do not count; of several rows with one id that with the smallest digest of its text is labelled. At most
+    ``max_labelled`` labelled documents, chosen by the hash of the id, are learned from. Neighbours at equal distance count in the order of the sample. The score (0 to 1) depends on the text alone; a null or empty text, and every
     text if there are no labels, scores the share of label 1 in the sample (1/2 without labels).
     """
     spark = docs.sparkSession
@@ -172,8 +173,11 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
     known = (labels.select(F.col("doc_id").alias("of"), F.col("quality").cast("int").alias("label")).where("label IS NOT NULL")
              .where(~F.coalesce(fold("of", folds) == held_fold, F.lit(False))).groupBy("of").agg(F.min("label").alias("label")))
-    known = known.orderBy(F.xxhash64("of"), "of").limit(max_labelled)
-    sample = (docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(known), F.col("id") == F.col("of"))
+    # only labels of documents that are there count, and of the rows of an id that with the smallest digest
+    given = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).withColumn("digest", F.xxhash64("text"))
+    known = (given.select("id", "digest").join(known, F.col("id") == F.col("of")).groupBy("of").agg(F.min("digest").alias("first"), F.min("label").alias("label"))
+             .orderBy(F.xxhash64("of"), "of").limit(max_labelled))
+    sample = (given.join(F.broadcast(known), (F.col("id") == F.col("of")) & (F.col("digest") == F.col("first"))).dropDuplicates(["of"])
               .select("label", "text").mapInArrow(_features(shared), "label int, at array<int>, value array<float>").toArrow())
     y = sample["label"].to_numpy().astype(float)
     x = np.zeros((len(y), DIMS), np.float32)
@@ -184,11 +188,12 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     model = spark.sparkContext.broadcast((idf, directions, _unit(x @ directions).astype(np.float32), (y > 0).astype(float),
                                           float((y > 0).mean()) if len(y) else 0.5))
     whole = text in carry
-    row = F.struct(*[F.col(c).alias("text_") if c == text else F.col(c) for c in carry]).alias("row")
+    inner = "text" + "_" * max(map(len, carry))  # a name that no carried column has
+    row = F.struct(*[F.col(c).alias(inner) if c == text else F.col(c) for c in carry]).alias("row")
     rows = docs.select(row) if whole else docs.select(row, F.col(text).cast("string").alias("text"))
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("score", T.DoubleType())])
-    scored = rows.mapInArrow(_score(model, ["text_"] if whole else []), schema)
-    out = F.struct(*[F.col("row.text_").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in carry])
+    scored = rows.mapInArrow(_score(model, inner if whole else None), schema)
+    out = F.struct(*[F.col(f"row.{inner}").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in carry])
     scored = scored.select(out.alias("row"), "score")
     kept_id = F.col(f"row.`{doc_id}`") if doc_id in carry else F.lit(None)
     return scored.select("row", F.coalesce(F.pmod(F.crc32(kept_id.cast("string").cast("binary")), F.lit(folds)) == held_fold, F.lit(False)).alias("held_out"),

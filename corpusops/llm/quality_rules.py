@@ -5,14 +5,9 @@ cutoff in thousandths. The rules are one decision: step ``i`` uses cutoff ``i``
 what breaks any of them. The good documents of a labelled holdout that a step would reject are counted,
 and the hypothesis "it rejects more than ``risk`` of the good documents" is tested with the exact
 binomial tail. Steps are tested in a fixed order, from loose to strict, up to the first that is not
-certified, so each needs no correction for the others and has the level ``error / (strata + 1)``; the
-last share is for all strata pooled. So with probability ``1 - error`` no stratum with a step of its own
-loses more than ``risk`` of its good documents. A stratum without one uses the pooled step, whose
-guarantee is weaker: at most ``risk`` of the good documents of all strata together, in the proportions
-of the holdout. Without a pooled step it rejects nothing.
-
-``split=True`` tests each rule and cutoff alone instead, at ``risk / rules`` and ``error / (strata * rules
-* cutoffs)`` (Bonferroni). A cutoff then needs thousands of good documents in its stratum.
+certified, so each needs no correction for the others and has the level ``error / strata``. So with probability ``1 - error`` no
+stratum loses more than ``risk`` of its good documents. A stratum without a certified step rejects nothing: without a false rejection it takes
+``ln(error / strata) / ln(1 - risk)`` good labelled documents to certify one.
 """
 
 from __future__ import annotations
@@ -105,26 +100,6 @@ def _exceeded(numerator: str, denominator: str, cutoffs: list[int]) -> Column:
     return F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cutoffs]), lambda c: 1000 * a > c * b))
 
 
-def certified_cutoffs(good: DataFrame, strata: int, risk: float, error: float) -> DataFrame:
-    """Stratum, rule, cutoff: the strictest cutoff of each rule that the holdout certifies.
-
-    ``good`` has ``stratum`` and the struct ``counts`` of holdout documents that must not be lost.
-    """
-    grid = [(rule, i, c) for rule, (_, _, cutoffs) in RULES.items() for i, c in enumerate(cutoffs)]
-    level = error / (max(strata, 1) * len(grid))
-    over = [F.struct(F.lit(rule).alias("rule"), _exceeded(*spec).alias("over")) for rule, spec in RULES.items()]
-    seen = (good.select("stratum", F.explode(F.array(*over)).alias("x"))
-            .groupBy("stratum", "x.rule", "x.over").agg(F.count(F.lit(1)).alias("docs")))
-    tests = (seen.select("stratum", "rule", "docs", "over", F.explode(F.transform(
-        F.element_at(F.create_map(*[y for rule, (_, _, cs) in RULES.items() for y in (
-            F.lit(rule), F.array(*[F.lit(c).cast("long") for c in cs]))]), F.col("rule")),
-        lambda c, i: F.struct(c.alias("cutoff"), i.alias("i")))).alias("t"))
-        .groupBy("stratum", "rule", "t.cutoff")
-        .agg(F.sum(F.when(F.col("over") > F.col("t.i"), F.col("docs")).otherwise(0)).alias("k"), F.sum("docs").alias("n")))
-    return (tests.where(binomial_tail(F.col("k"), F.col("n"), risk / len(RULES)) <= level)
-            .groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff")))
-
-
 def _cutoffs_at(step: Column) -> Column:
     """Map of rule to its cutoff at a step."""
     return F.create_map(*[x for rule, (_, _, cutoffs) in RULES.items() for x in (
@@ -132,25 +107,22 @@ def _cutoffs_at(step: Column) -> Column:
 
 
 def certified_steps(good: DataFrame, strata: int, risk: float, error: float) -> DataFrame:
-    """pooled, stratum, n (good documents), step: the strictest certified one, null if there is none.
+    """stratum, n (good documents), step: the strictest certified one, null if there is none.
 
-    One row per stratum and one for all together (``pooled``, with a null stratum). A stricter step
-    rejects all that a looser one does, so the tail only grows along the sequence, and the strictest step
+    A stricter step rejects all that a looser one does, so the tail only grows along the sequence, and the strictest step
     at the level is where the tests from loose to strict end.
     """
     over = F.greatest(*[_exceeded(a, b, cutoffs[:STEPS]) for a, b, cutoffs in RULES.values()])
     seen = good.select("stratum", over.alias("over")).groupBy("stratum", "over").agg(F.count(F.lit(1)).alias("docs"))
-    both = seen.select(F.lit(False).alias("pooled"), "stratum", "over", "docs").union(
-        seen.groupBy("over").agg(F.sum("docs").alias("docs")).select(F.lit(True), F.lit(None).cast("string"), "over", "docs"))
-    tests = (both.select("*", F.explode(F.sequence(F.lit(0), F.lit(STEPS - 1))).alias("step")).groupBy("pooled", "stratum", "step")
+    tests = (seen.select("*", F.explode(F.sequence(F.lit(0), F.lit(STEPS - 1))).alias("step")).groupBy("stratum", "step")
              .agg(F.sum(F.when(F.col("over") > F.col("step"), F.col("docs")).otherwise(0)).alias("k"), F.sum("docs").alias("n")))
-    certified = binomial_tail(F.col("k"), F.col("n"), risk) <= error / (strata + 1)
-    tests = tests.select("pooled", "stratum", "n", F.when(certified, F.col("step")).alias("step"))
-    return tests.groupBy("pooled", "stratum").agg(F.max("n").alias("n"), F.min("step").alias("step"))
+    certified = binomial_tail(F.col("k"), F.col("n"), risk) <= error / max(strata, 1)
+    passed = tests.select("stratum", "n", F.when(certified, F.col("step")).alias("step"))
+    return passed.groupBy("stratum").agg(F.max("n").alias("n"), F.min("step").alias("step"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", text: str = "text", doc_id: str = "doc_id",
-          risk: float = 0.01, error: float = 0.05, carry: list[str] | None = None, split: bool = False) -> DataFrame:
+          risk: float = 0.01, error: float = 0.05, carry: list[str] | None = None) -> DataFrame:
     """One row per document: ``doc_id``, the counts, ``base_failed``, ``kept``, ``broken_rules``.
 
     Columns named in ``carry`` come along in a struct ``carried``.
@@ -169,22 +141,14 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", text: str =
     held = rows.where(~base_failed(F.col("counts"))).select("doc_id", "stratum", "counts").join(
         good, F.col("doc_id") == F.col("label_id"), "left_semi").select("stratum", "counts")
     strata = held.select(F.coalesce("stratum", F.lit("")), F.col("stratum").isNull()).distinct().count()
-    if split:
-        pooled = None
-        cutoffs = (certified_cutoffs(held, strata, risk, error)
-                   .groupBy(F.col("stratum").alias("of")).agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs")))
-    else:
-        steps = stage(certified_steps(held, strata, risk, error), "quality-steps")
-        pooled = steps.where("pooled AND step IS NOT NULL").first()  # one row
-        cutoffs = steps.where("NOT pooled AND step IS NOT NULL").select(F.col("stratum").alias("of"), _cutoffs_at(F.col("step")).alias("cutoffs"))
+    steps = stage(certified_steps(held, strata, risk, error), "quality-steps")
+    cutoffs = steps.where("step IS NOT NULL").select(F.col("stratum").alias("of"), _cutoffs_at(F.col("step")).alias("cutoffs"))
     if strata <= BROADCAST_STRATA:
         cutoffs = F.broadcast(cutoffs)
     c = F.col("counts")
     broken = F.filter(F.array(*[F.when(1000 * c[a] > F.element_at("cutoffs", rule) * c[b], F.lit(rule))
                                 for rule, (a, b, _) in RULES.items()]), lambda x: x.isNotNull())
     judged = rows.join(cutoffs, F.col("stratum").eqNullSafe(F.col("of")), "left")
-    if pooled:
-        judged = judged.withColumn("cutoffs", F.coalesce("cutoffs", _cutoffs_at(F.lit(pooled["step"]))))
     return (judged
             .withColumn("broken_rules", F.when(F.col("cutoffs").isNull(), F.array().cast("array<string>")).otherwise(broken))
             .withColumn("failed", base_failed(c))

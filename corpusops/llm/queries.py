@@ -29,11 +29,9 @@ WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 def _quality_rules_sql(risk: float = 0.01, error: float = 0.05) -> str:
     rules = quality_rules.RULES
-    grid = ", ".join(f"('{r}', {c})" for r, (_, _, cs) in rules.items() for c in cs)
-    ratios = " UNION ALL ".join(f"SELECT doc_id, lang, '{r}' AS rule, {a} AS a, {b} AS b, base_failed FROM counts"
-                                for r, (a, b, _) in rules.items())
-    cells = sum(len(cs) for _, _, cs in rules.values())
-    p = risk / len(rules)
+    steps = quality_rules.STEPS
+    ratios = " UNION ALL ".join(f"SELECT doc_id, lang, '{r}' AS rule, {a} AS a, {b} AS b, {cs[:steps]}::BIGINT[] AS cutoffs, base_failed FROM counts"
+                                for r, (a, b, cs) in rules.items())
     upper = "translate(chars, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')"
     return rf"""WITH base AS (SELECT doc_id, lang, {WORDS_SQL} AS w, list_filter(string_split(coalesce(text, ''), chr(10)),
     lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS chars FROM documents),
@@ -48,16 +46,15 @@ sized AS (SELECT base.doc_id, lang, len(w) AS n_words, length(chars) AS word_cha
     FROM base LEFT JOIN repeats USING (doc_id)),
 counts AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM sized),
 ratios AS ({ratios}),
-grid AS (SELECT * FROM (VALUES {grid}) g(rule, cutoff)),
 good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
-held AS (SELECT * FROM ratios WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
-tests AS (SELECT lang, rule, cutoff, count(*) AS n, count(*) FILTER (1000 * a > cutoff * b) AS k FROM held JOIN grid USING (rule) GROUP BY ALL),
-tails AS (SELECT *, CASE WHEN k >= n * {p} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
-    exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p})))) END AS tail FROM tests),
-cutoffs AS (SELECT lang, rule, min(cutoff) AS cutoff FROM tails WHERE tail <= {error} / ({cells} * (SELECT count(DISTINCT coalesce(lang, '')) FROM held))
-    GROUP BY lang, rule),
-broken AS (SELECT doc_id, array_agg(DISTINCT rule ORDER BY rule) AS rules FROM ratios JOIN cutoffs USING (rule)
-    WHERE ratios.lang IS NOT DISTINCT FROM cutoffs.lang AND 1000 * a > cutoff * b GROUP BY doc_id)
+held AS (SELECT doc_id, lang, max(len(list_filter(cutoffs, lambda c: 1000 * a > c * b))) AS over FROM ratios
+    WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good) GROUP BY doc_id, lang),
+tests AS (SELECT lang, step, count(*) AS n, count(*) FILTER (over > step) AS k FROM held, range({steps}) t(step) GROUP BY lang, step),
+tails AS (SELECT *, CASE WHEN k >= n * {risk} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+    exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk}) + (n - i) * ln(1 - {risk})))) END AS tail FROM tests),
+certified AS (SELECT lang, min(step) AS step FROM tails WHERE tail <= {error} / (SELECT count(DISTINCT coalesce(lang, '')) FROM held) GROUP BY lang),
+broken AS (SELECT doc_id, array_agg(DISTINCT rule ORDER BY rule) AS rules FROM ratios JOIN certified ON ratios.lang IS NOT DISTINCT FROM certified.lang
+    WHERE 1000 * a > cutoffs[step + 1] * b GROUP BY doc_id)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT base_failed AND rules IS NULL AS kept, array_to_string(coalesce(rules, []), ',') AS broken_rules
@@ -66,8 +63,7 @@ FROM counts LEFT JOIN broken USING (doc_id)"""
 
 @query(_quality_rules_sql())
 def op9_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # split: the SQL above fixes the tests
-    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), split=True)
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "kept", F.array_join(F.sort_array("broken_rules"), ",").alias("broken_rules"))
 

@@ -45,13 +45,14 @@ def shard(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", text: str =
     """One row per document: doc_id, size (UTF-8 bytes + 16), tokens (words), text_crc32, shard, slot.
 
     Slots are numbered from 0 without gaps in each shard. Groups are equal texts, null being one of them
-    (no bytes, crc32 null). A group stays in one shard unless it holds more than half a shard. Reruns agree;
-    of rows with the same id and text it is open which takes which slot. Empty tables give no rows.
+    (no bytes, crc32 null). A group stays in one shard unless it holds more than half a shard; then its rows are dealt by number,
+    whatever their ids. Reruns over the same files agree;
+    of rows with the same id and text it is open which takes which slot. Further columns are not read. Empty tables give no rows.
     """
     t = F.col(text).cast("string")
     rows = docs.select(F.col(doc_id).alias("doc_id"), (F.coalesce(F.octet_length(t), F.lit(0)) + ROW_OVERHEAD).cast("long").alias("size"),
                        count_words(t).alias("tokens"), F.crc32(t.cast("binary")).alias("text_crc32"),
-                       F.coalesce(F.md5(t), F.lit("null")).alias("group"))
+                       F.coalesce(F.md5(t), F.lit("null")).alias("group"), F.monotonically_increasing_id().alias("place"))
     rows = stage(rows, "shard-rows")
     groups = stage(rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")), "shard-groups")
     sums = groups.agg(F.sum("bytes"), F.sum("tokens"), F.sum("rows"), F.count(F.lit(1))).first()
@@ -62,9 +63,12 @@ def shard(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", text: str =
     large = groups.where(share > 1 / LARGE).select(F.col("group").alias("of"), F.when(
         share > SPLIT_ABOVE / shards, F.ceil(share * (shards / PIECE))).otherwise(1).cast("int").alias("pieces"))
     large = F.broadcast(stage(large, "shard-large"))  # at most 3 * LARGE rows
-    piece = F.pmod(F.xxhash64("doc_id"), F.coalesce("pieces", F.lit(1))).cast("int")
-    cut = rows.join(large, F.col("group") == F.col("of"), "left").select("doc_id", "size", "tokens", "text_crc32", "group", piece.alias("piece"),
-                                                                         F.col("pieces").isNotNull().alias("large"))
+    columns = ["doc_id", "size", "tokens", "text_crc32", "group", "place"]
+    marked = rows.join(large, F.col("group") == F.col("of"), "left").select(*columns, "pieces")
+    # rows of a large group are dealt by number, as ids may be missing or repeated
+    dealt = number_slots(marked.where("pieces > 1"), "group", "place", ["place"]).withColumn("piece", F.pmod("slot", "pieces").cast("int"))
+    cut = stage(dealt.select(*columns, "piece", F.lit(True).alias("large")).union(
+        marked.where("pieces IS NULL OR pieces = 1").select(*columns, F.lit(0), F.col("pieces").isNotNull())), "shard-rows-cut")
     pieces = (cut.where("large").groupBy("group", "piece").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
               .toPandas().sort_values(["bytes", "group", "piece"], ascending=[False, True, True]))  # at most 3 * (LARGE + 2 * shards / PIECE) rows
     residual = np.full((shards, 3), 1.0 / shards)
@@ -84,10 +88,10 @@ def shard(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", text: str =
     big = spark.createDataFrame(pd.DataFrame({"of": pieces["group"].astype(str), "in_piece": pieces["piece"].astype("int32"), "to": placed}),
                                 "of string, in_piece int, to int")
     out = (cut.where("large").join(F.broadcast(big), (F.col("group") == F.col("of")) & (F.col("piece") == F.col("in_piece")))
-           .select("doc_id", "size", "tokens", "text_crc32", "group", F.col("to").alias("shard"))
+           .select(*columns, F.col("to").alias("shard"))
            .union(cut.where(~F.col("large")).join(small, F.col("group") == F.col("of"))
-                  .select("doc_id", "size", "tokens", "text_crc32", "group", F.col("to").alias("shard"))))
-    return number_slots(stage(out, "shard-rows-placed"), "shard", "doc_id", ["doc_id", "group"]).select(
+                  .select(*columns, F.col("to").alias("shard"))))
+    return number_slots(stage(out, "shard-rows-placed"), "shard", "place", ["doc_id", "group", "place"]).select(
         "doc_id", "size", "tokens", "text_crc32", "shard", "slot")
 
 

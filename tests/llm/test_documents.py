@@ -63,6 +63,37 @@ def test_hot_group_is_split_others_stay_together(spark):
     assert len(together.pop("same text")) > 1 and all(len(s) == 1 for s in together.values())
 
 
+@pytest.mark.parametrize("ids", [lambda i: None, lambda i: 7])
+def test_hot_group_without_unique_ids_is_split(spark, ids):
+    rows = [(ids(i), "same text" * 10) for i in range(1000)] + [(10_000 + i, f"text number {i}") for i in range(1000)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), shards=8).toPandas()
+    sizes = got.groupby("shard")["size"].sum()
+    assert len(got) == 2000 and sizes.max() <= 1.1 * sizes.mean() and sizes.min() >= 0.9 * sizes.mean()
+    by = got.groupby("shard").agg(n=("slot", "count"), top=("slot", "max"), different=("slot", "nunique"))
+    assert (by.top + 1 == by.n).all() and (by.different == by.n).all()
+
+
+def plain_pack(vectors, shards):
+    """Every vector in turn to the shard whose residual has the highest dot product with it."""
+    left = [[1.0 / shards] * 3 for _ in range(shards)]
+    out = []
+    for v in vectors:
+        scores = [sum(w * a * b for w, a, b in zip((4.0, 1.0, 1.0), v, r)) for r in left]
+        s = scores.index(max(scores))
+        left[s] = [a - b for a, b in zip(left[s], v)]
+        out.append(s)
+    return out
+
+
+def test_packing_equals_a_plain_packer():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    for shards in (1, 3, 8):
+        vectors = rng.integers(1, 64, (60, 3)) / 1024.0
+        assert sharding.pack(vectors, np.full((shards, 3), 1.0 / shards)).tolist() == plain_pack(vectors.tolist(), shards)
+
+
 def test_sharding_awkward_rows(spark, tmp_path):
     docs = awkward(spark)
     got = sharding.shard(docs, shards=3).collect()
@@ -227,6 +258,18 @@ def test_suffix_tree_awkward_rows(spark):
     assert {(r.n_known, r.train_tokens) for r in suffix_tree_lm.score(held).collect()} <= {(0, 0)}
 
 
+def test_votes_bound_rows_and_take_carried_names(spark):
+    """A label id that many rows repeat counts once; carried columns may have any name."""
+    rows = [(1, prose(1, 60))] * 300 + [(1, "aaa")] + [(i, prose(i, 60)) for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS text_", "'y' AS row", "'z' AS first", "1 AS id")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 40)], "doc_id long, quality int, toxic int")
+    got = neighbour_votes.classify(docs, labels, carry=docs.columns)
+    assert got.count() == len(rows) and got.select("row.*").columns == docs.columns
+    once = neighbour_votes.classify(docs.dropDuplicates(["doc_id", "text"]), labels)
+    scores = {r.row.doc_id: r.score for r in once.collect() if r.row.doc_id != 1}
+    assert {r.row.doc_id: r.score for r in got.collect() if r.row.doc_id != 1}.keys() == scores.keys()
+
+
 # rules ----------------------------------------------------------------------------------------------
 
 
@@ -272,23 +315,33 @@ def test_rules_reject_on_a_given_table(spark):
     docs = spark.read.parquet(folder + "documents.parquet").join(known.select("doc_id").distinct(), "doc_id")
     bad = {r.doc_id for r in known.where("quality = 0").collect()}
     got = [r for r in quality_rules.judge(docs, known).collect() if not r.base_failed]
-    assert {r.doc_id for r in got if not r.kept} >= {r.doc_id for r in got if r.doc_id in bad} != set()
-    for lang in {r.stratum for r in got}:
+    assert {r.doc_id for r in got if not r.kept} >= {r.doc_id for r in got if r.doc_id in bad and r.stratum != "es"} != set()
+    for lang in {r.stratum for r in got}:  # es has too few good documents to certify a step
         good = [r.kept for r in got if r.stratum == lang and r.doc_id not in bad]
         assert good.count(False) <= 0.01 * len(good), lang
 
 
-def test_small_strata_use_the_pooled_step(spark):
+def test_small_strata_reject_nothing(spark):
     good = [(i, prose(i, 90), "en" if i < 600 else "fr" if i < 640 else None) for i in range(660)]
     bad = [(5000 + i, " ".join("### " + w for w in prose(i, 90).split()), ["en", "fr", None, "unseen"][i]) for i in range(4)]
     docs = spark.createDataFrame(good + bad, "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, 1) for i, _, _ in good], "doc_id long, quality int")
     got = {r.doc_id: r for r in quality_rules.judge(docs, labels).collect()}
-    assert not any(got[d].kept for d, _, _ in bad) and sum(not got[d].kept for d, _, _ in good if not got[d].base_failed) <= 6
+    assert not got[5000].kept and sum(not got[d].kept for d, _, lang in good if lang == "en" and not got[d].base_failed) <= 6
+    assert all(r.kept != r.base_failed for r in got.values() if r.stratum != "en")
     few = labels.where("doc_id < 100")
     assert all(r.kept != r.base_failed for r in quality_rules.judge(docs, few).collect())
 
 
+def test_query_rejects_through_its_method(spark):
+    folder = "/root/testdata/sf0.1"
+    got = {r.doc_id: r for r in QUERIES["op9_risk_controlled_rules"](spark, folder).collect()}
+    known = {r.doc_id: r.quality for r in spark.read.parquet(folder + "/labels.parquet").where("quality IS NOT NULL").collect()}
+    judged = [(q, got[d]) for d, q in known.items() if not got[d].base_failed]
+    bad, good = [r for q, r in judged if q == 0], [r for q, r in judged if q == 1]
+    assert sum(not r.kept for r in bad) > 0.8 * len(bad) > 0 and sum(not r.kept for r in good) <= 0.01 * len(good)
+
+
 def test_rules_awkward_rows(spark):
     docs = awkward(spark)
     got = quality_rules.judge(docs, no_labels(spark), carry=docs.columns)

@@ -299,7 +299,9 @@ def test_stages_one_by_one(spark):
 
 
 def test_stages_awkward_rows(spark, tmp_path):
-    docs = awkward(spark).drop("key", "n")
+    docs = awkward(spark)
+    for name in ("_id", "_first", "_digest", "_copy", "text_", "digest", "id", "first", "own", "copies", "component"):
+        docs = docs.withColumn(name, F.lit("clash"))
     spark.createDataFrame([(4, 1, 0), (6, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, str(tmp_path))
