@@ -45,19 +45,19 @@ def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     linked = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("first"))
     first = linked.select("first.doc_id", "first.digest").union(
         found.where("component IS NULL AND doc_id IS NOT NULL").select("doc_id", "digest").distinct())
-    first = first.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_first"))
-    own = docs.withColumn("_digest", jaccard_join.text_digest(F.col("text").cast("string")))
-    kept = own.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_first")), "left_semi")
-    kept = kept.dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
+    first = first.select(F.col("doc_id").alias("id"), F.col("digest").alias("first"))
+    own = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row")).withColumn("text_digest", jaccard_join.text_digest(F.col("row.text").cast("string")))
+    kept = own.join(first, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("text_digest") == F.col("first")), "left_semi")
+    kept = kept.withColumn("own_id", F.col("row.doc_id")).dropDuplicates(["own_id", "text_digest"]).select("row.*")
     return kept.union(docs.where(F.col("doc_id").isNull() & (count_words("text") == 0)))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     taken = mixing.mix(docs).groupBy("doc_id", "digest").agg(F.max("copies").alias("copies")).where("copies > 0")
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy"))
-    own = mixing.text_digest(F.col("text"))
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_digest"))).select(*[F.col(c) for c in docs.columns])
+    taken = taken.select(F.col("doc_id").alias("id"), F.col("digest").alias("of_text"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    own = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row")).withColumn("own", mixing.text_digest(F.col("row.text")))
+    return own.join(taken, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("of_text"))).select("row.*")
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
