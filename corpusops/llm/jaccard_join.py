@@ -32,7 +32,7 @@ CELLS, BITS = 1 << 18, 512
 BROADCAST_IDS = 1_000_000
 WORDS64 = BITS // 64
 #: rounds of contraction at most; what they leave is tried pair by pair
-ROUNDS = 4
+ROUNDS = 3
 
 
 def text_digest(text: Column) -> Column:

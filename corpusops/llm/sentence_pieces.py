@@ -20,7 +20,6 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,8 +32,8 @@ from ..session import stage
 
 #: characters of a chunk; chunks (then ranges of them) that are combined in one task
 CHUNK, FAN = 1 << 15, 64
-#: words a process remembers (twice that for a while), each about 250 bytes; pairs of pieces; bytes of text worked on at once
-REMEMBER, PAIRS, SLICE = 150_000, 50_000, 1 << 20
+#: words a process remembers (twice that for a while), each about 200 bytes; pairs of pieces; bytes of text worked on at once
+REMEMBER, PAIRS, SLICE = 120_000, 50_000, 1 << 20
 #: longer stretches without a space are traced, not merged, which takes time with the square of their length
 MERGED = 64
 MARK = "▁"
@@ -81,8 +80,8 @@ class Lattice:
         self.cuts = all(MARK not in p.lstrip(MARK) for p in self.ids)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.alone: dict[str, bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
         """The pieces of a short text by merging: best score first, leftmost among equals."""
@@ -165,14 +164,14 @@ class Lattice:
                 out.append(self.unknown)
         return out
 
-    def word(self, text: str) -> tuple[int, ...]:
-        """Numbers of a stretch that no piece leaves; the words of the last two tables are remembered."""
+    def word(self, text: str) -> bytes:
+        """Numbers, four bytes each, of a stretch that no piece leaves; the words of the last two tables are remembered."""
         found = self.words.get(text)
         if found is None:
             found = self.older.get(text)
             if found is None:
                 pieces = self.merge(text) if self.bpe and len(text) <= MERGED else self.trace(self.forward(text, 0, len(text)), len(text))
-                found = tuple(self.numbers(pieces))
+                found = array("i", self.numbers(pieces)).tobytes()
             if len(text) <= MERGED:
                 if len(self.words) >= REMEMBER:
                     self.older, self.words = self.words, {}
@@ -266,12 +265,12 @@ class Lattice:
         out = array("i", self.numbers(self.trace(best, cut - at)))
         table, word = self.words, self.word
         inner = WORDS.findall(text, cut, last)
-        out.extend(chain.from_iterable([table.get(w) or word(w) for w in inner]))
+        out.frombytes(b"".join([table.get(w) or word(w) for w in inner]))
         if after[0]:
             best = self.forward(text, last, stop)
             out.extend(self.numbers(self.trace(best, stop - last) + [after[1]]))
         elif last < stop:
-            out.extend(word(text[last:stop]))
+            out.frombytes(word(text[last:stop]))
         return out
 
 
