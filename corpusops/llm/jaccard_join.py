@@ -9,7 +9,7 @@
    room for the overlap it needs, as if no earlier one were shared: so it is tried at its first shared shingle, and seldom at others.
 3. A parity bitmap per node bounds the overlap from above: sets differ at least in as many elements as
    their bitmaps differ in bits. Pairs that pass are verified by intersecting the sorted arrays.
-4. In a few rounds, every node is held against one node of each of its tiles, of the component with most nodes there, and
+4. In a few rounds nodes are held against one node of their tiles, later against members of the components found so far, and
    linked nodes are contracted; groups of near copies collapse here without their pairs being listed. Then all pairs of a tile that are not yet in one component are tried, so no link between components is missed.
 """
 
@@ -32,7 +32,7 @@ CELLS, BITS = 1 << 18, 512
 BROADCAST_IDS = 1_000_000
 WORDS64 = BITS // 64
 #: rounds of contraction at most; what they leave is tried pair by pair
-ROUNDS = 3
+ROUNDS = 4
 
 
 def text_digest(text: Column) -> Column:
@@ -221,27 +221,40 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
         drop_stages(wanted, arrays)
         return links, pairs
 
-    def rooted(roots: DataFrame | None, turn: int = 0) -> DataFrame:
-        """Tiles with the component of each node so far, those with several components only, and a node of the one with most nodes there.
+    same_tile = (F.col("shingle") == F.col("s")) & (F.col("tile") == F.col("t"))
 
-        Which of its nodes that is changes with the turn.
-        """
+    def rooted(roots: DataFrame | None) -> DataFrame:
+        """Tiles with the component of each node so far."""
         if roots is None:
-            named = tiles.withColumn("root", F.col("node"))
+            return tiles.withColumn("root", F.col("node"))
+        return (tiles.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
+                .select("node", "n", "band", "at", "shingle", "tile", F.coalesce("root", "node").alias("root")))
+
+    def held_against(named: DataFrame, turn: int) -> DataFrame:
+        """(node, low): pairs to try, with room for the overlap, of a node and one of another component in a tile.
+
+        At first each node meets the one that is lowest in most of its tiles; later, in the tiles where a component has several nodes,
+        the others meet one of them, another one each turn.
+        """
+        if turn == 0:
+            lowest = F.min(F.struct("root", "node", "n", "at")).alias("low")
+            lows = named.groupBy("shingle", "tile").agg(lowest, F.max("root").alias("hi")).where("low.root <> hi")
         else:
-            named = (tiles.join(roots.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
-                     .select("node", "n", "band", "at", "shingle", "tile", F.coalesce("root", "node").alias("root")))
-        member = F.min(F.struct(F.xxhash64("node", "shingle", F.lit(turn)).alias("by"), "node", "n", "at")).alias("member")
-        parts = named.groupBy("shingle", "tile", "root").agg(F.count(F.lit(1)).alias("size"), member)
-        most = F.max(F.struct("size", (-F.col("root")).alias("order"), "root", "member.node", "member.n", "member.at")).alias("low")
-        mixed = parts.groupBy("shingle", "tile").agg(most, F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        return named.join(mixed.select(F.col("shingle").alias("s"), F.col("tile").alias("t"), "low"), (F.col("shingle") == F.col("s")) & (F.col("tile") == F.col("t")))
+            member = F.min(F.struct(F.xxhash64("node", "shingle", F.lit(turn)).alias("by"), "node", "n", "at")).alias("member")
+            parts = named.groupBy("shingle", "tile", "root").agg(F.count(F.lit(1)).alias("size"), member)
+            most = F.max(F.struct("size", (-F.col("root")).alias("order"), "root", "member.node", "member.n", "member.at")).alias("low")
+            lows = parts.groupBy("shingle", "tile").agg(most, F.count(F.lit(1)).alias("parts")).where("parts > 1 AND low.size > 1")
+        low = F.col("low")
+        met = named.join(lows.select(F.col("shingle").alias("s"), F.col("tile").alias("t"), "low"), same_tile)
+        met = met.where((F.col("root") != low["root"]) & _room(F.col("n"), F.col("at"), low["n"], low["at"], percent))
+        counted = met.groupBy("node", low["node"].alias("low")).agg(F.count(F.lit(1)).alias("tiles"))
+        if turn == 0:
+            counted = counted.groupBy("node").agg(F.max(F.struct("tiles", "low"))["low"].alias("low"))
+        return counted.select("node", "low")
 
     links, roots, tried = None, None, None
     for turn in range(ROUNDS):
-        low = F.col("low")
-        stars = rooted(roots, turn).where((F.col("root") != low["root"]) & _room(F.col("n"), F.col("at"), low["n"], low["at"], percent))
-        stars = stars.select(F.least("node", low["node"]).alias("a"), F.greatest("node", low["node"]).alias("b")).distinct()
+        stars = held_against(rooted(roots), turn).select(F.least("node", "low").alias("a"), F.greatest("node", "low").alias("b")).distinct()
         if tried is not None:
             stars = stars.join(tried, ["a", "b"], "left_anti")
         stars = stars.join(side("a"), "a").join(side("b"), "b").where(
@@ -253,7 +266,10 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
         links = found if links is None else links.union(found)
         roots = components(links)
 
-    open_ = stage(rooted(roots).select("node", "n", "band", "at", "shingle", "tile", "root").join(bits.select("node", "bits"), "node"), "open-tiles")
+    named = rooted(roots)
+    mixed = (named.groupBy("shingle", "tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+             .select(F.col("shingle").alias("s"), F.col("tile").alias("t")))
+    open_ = stage(named.join(mixed, same_tile, "left_semi").join(bits.select("node", "bits"), "node"), "open-tiles")
     left = open_.select(F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("bits").alias("ba"), "shingle", "tile")
     right = open_.where("band = tile").select(F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("at").alias("pb"),
                                               F.col("bits").alias("bb"), F.col("shingle").alias("s2"), F.col("tile").alias("t2"))
