@@ -33,7 +33,7 @@ from ..session import stage
 #: characters of a chunk; chunks (then ranges of them) that are combined in one task
 CHUNK, FAN = 1 << 15, 64
 #: words a process remembers (twice that for a while), each about 200 bytes; pairs of pieces; bytes of text worked on at once
-REMEMBER, PAIRS, SLICE = 120_000, 50_000, 1 << 20
+REMEMBER, PAIRS, SLICE = 100_000, 50_000, 1 << 20
 #: longer stretches without a space are traced, not merged, which takes time with the square of their length
 MERGED = 64
 MARK = "▁"
@@ -444,6 +444,7 @@ def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
             for rows in _slices(batch, "t"):
                 pieces = listed(lattice.encode(t, 0, len(t)) if t else [] for t in rows["t"].to_pylist())
                 yield pa.RecordBatch.from_arrays([rows["key"], pieces], ["key", "pieces"])
+        pa.default_memory_pool().release_unused()
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(shared)
@@ -480,9 +481,11 @@ def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
 def decode(encoded: DataFrame, model_file: str, pieces: str = "pieces", out: str = "text", model: dict | None = None) -> DataFrame:
     """Add the text of each piece array: bytes are joined, marks become spaces, the added first space goes.
 
-    A null array decodes to null; control pieces have no text; bytes that are not UTF-8 become U+FFFD.
+    A null array decodes to null; control pieces have no text; bytes that are not UTF-8 become U+FFFD. What is decoded is written
+    first: else a task that encodes and decodes would hold two Python processes at once.
     """
     spark = encoded.sparkSession
+    encoded = stage(encoded, "pieces")
     shared = spark.sparkContext.broadcast(model or read_model(model_file))
 
     @F.pandas_udf("string")
