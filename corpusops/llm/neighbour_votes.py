@@ -180,10 +180,14 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     sample = (given.join(F.broadcast(known), (F.col("id") == F.col("of")) & (F.col("digest") == F.col("first"))).dropDuplicates(["of"])
               .select("label", "text").mapInArrow(_features(shared), "label int, at array<int>, value array<float>").toArrow())
     y = sample["label"].to_numpy().astype(float)
-    x = np.zeros((len(y), DIMS), np.float32)
+    some = np.zeros((len(y), -(-DIMS // 97)), np.float32)  # every 97th dimension, for an order that does not depend on the tasks
     for i, (at, value) in enumerate(zip(sample["at"], sample["value"])):
-        x[i, at.values.to_numpy()] = value.values.to_numpy()
-    x, y = (lambda order: (x[order], y[order]))(np.lexsort((*x[:, ::97].T, y)))  # an order that does not depend on the tasks
+        at, value = at.values.to_numpy(), value.values.to_numpy()
+        some[i, at[at % 97 == 0] // 97] = value[at % 97 == 0]
+    order = np.lexsort((*some.T, y))
+    x, y = np.zeros((len(y), DIMS), np.float32), y[order]  # the only dense copy: at most max_labelled rows of 18 KB
+    for place, i in enumerate(order.tolist()):
+        x[place, sample["at"][i].values.to_numpy()] = sample["value"][i].values.to_numpy()
     directions = latent_directions(x) if len(y) else np.zeros((DIMS, 1), np.float32)
     model = spark.sparkContext.broadcast((idf, directions, _unit(x @ directions).astype(np.float32), (y > 0).astype(float),
                                           float((y > 0).mean()) if len(y) else 0.5))
