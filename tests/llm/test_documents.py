@@ -220,33 +220,64 @@ def test_suffix_tree_base_and_gain(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_suffix_tree_is_a_distribution_and_matches_plain_walk(spark):
-    import numpy as np
-
-    lines = [(prose(i % 7, 50),) for i in range(40)]
-    _, total, distinct, tree = suffix_tree_lm.train(spark.createDataFrame(lines, "text string"), depth=2, min_share=1e-4, gain=2.0)
-    assert len(tree.back) > 5 and any(len(k) for k, _ in tree.steps[1:])
-    v = len(tree.words)
-    assert v == distinct  # every word is common here, so each state must sum to 1 with the unknown word
-    unknown = math.log10(0.1 / (total + 0.1 * (distinct + 1)))
-    for state in range(len(tree.back)):
-        p = 10 ** suffix_tree_lm._under(tree, np.full(v, state), np.arange(v))
-        rest, s = unknown, state
-        while s:
-            rest, s = rest + tree.back[s], tree.parent[s]
-        assert p.sum() + 10 ** rest == pytest.approx(1.0, abs=1e-6)
-    states = {}
-    for level, (keys, values) in enumerate(tree.steps, 1):
-        for k, x in zip(keys.tolist(), values.tolist()):
-            older, shorter = k % v, k // v
-            states[(older, *(next(c for c, y in states.items() if y == shorter) if shorter else ()))] = x
-    w = tree.number(np.concatenate([t[:, 0] if t.ndim > 1 else t for t in [x for _, x, _ in suffix_tree_lm._tokens(pa.array([lines[0][0]]))]]))
-    end = int(tree.number(np.array([suffix_tree_lm.END]))[0])
-    got = tree.log10(w, np.array([0, len(w)]))
-    for i in range(len(w)):
-        past = ([end] + w[:i].tolist())[-2:]
-        context = next((tuple(past[-k:]) for k in range(len(past), 0, -1) if all(tuple(past[-j:]) in states for j in range(1, k + 1))), ())
-        assert got[i] == pytest.approx(float(suffix_tree_lm._under(tree, np.array([states.get(context, 0)]), w[i:i + 1])[0]))
+def plain_tree(texts, depth, min_count, gain):
+    """A function log10 P(word | past words) of the same tree, from dictionaries of word tuples."""
+    grams = collections.Counter()
+    for t in texts:
+        seq = ["$", *words(t), "$"]
+        for i in range(1, len(seq)):
+            for k in range(min(i, depth) + 1):
+                grams[tuple(seq[i - k:i + 1])] += 1
+    total, distinct = sum(n for g, n in grams.items() if len(g) == 1), sum(len(g) == 1 for g in grams)
+    followers = collections.defaultdict(dict)
+    for g, n in grams.items():
+        if len(g) > 1 and n >= min_count:
+            followers[g[:-1]][g[-1]] = n
+    kept = {}
+
+    def p(word, past):
+        if not past:
+            return (grams[word,] + 0.1) / (total + 0.1 * (distinct + 1))
+        below = p(word, past[1:])
+        if past not in kept:
+            return below
+        c, rest = kept[past]
+        n = followers[past].get(word, 0)
+        return (n - 0.5) / c + rest * below if n else rest * below
+
+    for past in sorted(followers, key=len):
+        c = grams[past]
+        rest = (c - sum(n - 0.5 for n in followers[past].values())) / c
+        gained = sum(n * math.log(((n - 0.5) / c + rest * p(w, past[1:])) / p(w, past[1:])) for w, n in followers[past].items())
+        if gained + (c - sum(followers[past].values())) * math.log(rest) > gain:
+            kept[past] = (c, rest)
+    return p, kept, {g[0] for g in grams if len(g) == 1}
+
+
+@pytest.mark.parametrize("depth,min_count,gain,min_share", [(2, 2, 2.0, 4e-6), (2, 2, 2.0, 1.0), (3, 2, 3.0, 0.01), (1, 3, 6.0, 0.01)])
+def test_suffix_tree_scores_equal_plain_tree(spark, depth, min_count, gain, min_share):
+    """Whole scores against dictionaries; where the join gives them (min_share 1) as where the broadcast does."""
+    lines = [(i, prose(i % 7, 50) + " " + prose(i, 20)) for i in range(60)] + [(60, None), (61, "never seen words"), (62, prose(3, 50))]
+    docs = spark.createDataFrame(lines, "doc_id long, text string")
+    train = [t for i, t in lines if crc(i, 10)]
+    p, kept, vocabulary = plain_tree(train, depth, min_count, gain)
+    assert {len(c) for c in kept} == set(range(1, depth + 1))
+    for past in [(), *list(kept)[:20]]:
+        assert sum(p(w, past) for w in vocabulary) + p("unheard", past) == pytest.approx(1.0)
+    got = {r.doc_id: r.score for r in suffix_tree_lm.score(docs, depth=depth, min_count=min_count, gain=gain, min_share=min_share).collect()}
+    for i, t in lines:
+        seq = ["$", *words(t), "$"]
+        assert got[i] == pytest.approx(sum(math.log10(p(seq[j], tuple(seq[max(0, j - depth):j]))) for j in range(1, len(seq))))
+
+
+def test_suffix_tree_knows_a_text_that_occurs_twice(spark):
+    """What little text repeats stays in the tree, however much other text there is."""
+    extra = [(1000 + i, prose(i, 60)) for i in range(400)]
+    twice = prose(5000, 60)
+    docs = spark.createDataFrame([(1, twice), (2, twice), (3, prose(5001, 60)), *extra], "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix_tree_lm.score(docs).collect()}
+    assert not got[1].held_out and not got[2].held_out
+    assert got[1].score > 0.7 * got[1].base_score and got[3].score < 0.9 * got[3].base_score
 
 
 def test_suffix_tree_awkward_rows(spark):
