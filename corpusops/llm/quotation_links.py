@@ -1,10 +1,13 @@
 """Quotation linking: replies find the messages they quote.
 
-Lines that begin with ``>`` are quoted; the number of ``>`` is the nesting level. Quoted lines are
-normalised and hashed and meet the unquoted lines of earlier messages of the same conversation. For
-each quoted line only the latest earlier message that has it counts, found as an as-of match in turn
-buckets, so a line that thousands of messages share gives one row per quoting line. A message replies
-to the message that most characters of its level-1 lines come from. Threads follow from pointer doubling.
+Lines that begin with ``>`` are quoted; the number of ``>`` is the nesting level. Lines of one level
+that follow each other without a blank line are a passage. Its lines are joined, normalised and cut into
+sentences, so where a mail program wraps it does not matter; single lines are pieces too, for quotations
+that cut a sentence. The pieces are hashed and meet the unquoted pieces of earlier messages of the same
+conversation. For each quoted piece only the latest earlier message that has it counts, found as an
+as-of match in turn buckets, so a piece that thousands of messages share gives one row per quoting
+piece. The longest piece found on a quoted line gives the line's source; a message replies to the message
+that most characters of its level-1 lines come from. Threads follow from pointer doubling.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .common import let
 
 #: turns of a bucket of the as-of match
 BUCKET = 256
@@ -22,8 +26,44 @@ QUOTED = r"^\s?((?:>\s?)+)"
 ATTRIBUTION = r"(?i)^on .{1,200} wrote:\s*$"
 
 
+#: where a sentence ends, and the marks around the line number that starts each part of a line in a joined passage
+SENTENCE_END = r"(?<=[.!?\u2026\u3002\uff01\uff1f]) "
+OPEN, CLOSE = "\x02", "\x03"
+
+
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"\s+", " "))
+    """Lower-case, each run of white space (and of the two marks) one space, trimmed."""
+    return F.trim(F.regexp_replace(F.lower(line), rf"[\s{OPEN}{CLOSE}]+", " "))
+
+
+def passages(lines: Column) -> Column:
+    """Arrays of (number, level, line) structs: runs of lines of one level without a blank line, normalised."""
+    lines = F.transform(lines, lambda x, i: F.struct(i.alias("number"), x["level"].alias("level"), normalised(x["line"]).alias("line")))
+
+    def cut(lines: Column) -> Column:
+        starts = F.transform(F.filter(lines, lambda x, i: (x["line"] != "") & (
+            (i == 0) | (F.get(lines, i - 1)["line"] == "") | (F.get(lines, i - 1)["level"] != x["level"]))), lambda x: x["number"])
+        return let(starts, lambda at: F.transform(at, lambda s, k: F.filter(
+            F.slice(lines, s + 1, F.coalesce(F.get(at, k + 1), F.size(lines)) - s), lambda x: x["line"] != "")))
+
+    return let(lines, cut)
+
+
+def pieces(passage: Column) -> Column:
+    """(hash, chars, lines) structs of a passage: its sentences, whichever lines they run over, and its lines."""
+    def mark(x: Column) -> Column:
+        number = F.concat(F.lit(OPEN), x["number"].cast("string"), F.lit(CLOSE))
+        return F.array_join(F.transform(F.split(x["line"], SENTENCE_END), lambda t: F.concat(number, t)), " ")
+
+    def piece(text: Column, lines: Column) -> Column:
+        return F.struct(F.xxhash64(text).alias("hash"), F.length(text).alias("chars"), lines.alias("lines"))
+
+    sentences = F.split(F.array_join(F.transform(passage, mark), " "), rf"(?<=[.!?\u2026\u3002\uff01\uff1f]) (?={OPEN})")
+    numbers = rf"{OPEN}(\d+){CLOSE}"
+    lines = F.transform(passage, lambda x: piece(x["line"], F.array(x["number"])))
+    whole = F.transform(sentences, lambda t: piece(F.regexp_replace(t, numbers, ""), F.transform(
+        F.regexp_extract_all(t, F.lit(numbers), F.lit(1)), lambda n: n.cast("int"))))
+    return let(whole, lambda found: F.when((F.size(found) == 1) & (F.size(passage) == 1), found).otherwise(F.concat(found, lines)))
 
 
 def lines_of(text: Column) -> Column:
@@ -79,17 +119,23 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     ``position`` numbers the turns of a conversation from 0 thread by thread, so parents precede
     replies. Rows repeated whole are one message; messages of one turn share its links and position.
     Null texts have no lines; rows with a null conversation or turn link to nothing and have no
-    position. Lines that are empty once normalised are not linked.
+    position. Lines that are empty once normalised are not linked. ``quoted_lines`` counts the other quoted
+    lines, ``linked_lines`` those on which a piece was found. Pieces of equal 64-bit hash count as one.
     """
     m = messages.select(F.col(conv).alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.col(role).alias("role"),
                         F.col(text).cast("string").alias("raw")).distinct()
-    m = stage(m.select("conv_id", "turn", "role", lines_of(F.col("raw")).alias("lines")), "quote-lines")
+    m = stage(m.select("conv_id", "turn", "role", F.xxhash64("role", "raw").alias("message"), lines_of(F.col("raw")).alias("lines")), "quote-lines")
     placed = m.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
-    line = placed.select("conv_id", "turn", F.explode("lines").alias("x")).select("conv_id", "turn", "x.level", normalised(F.col("x.line")).alias("line"))
-    line = line.where("line <> ''").select("conv_id", "turn", "level", F.xxhash64("line").alias("hash"), F.length("line").alias("chars"))
-    own = line.where("level = 0").select("conv_id", "hash", "turn").distinct()
-    quoted = line.where("level > 0").select("conv_id", "hash", "turn", "level", "chars")
-    found = stage(latest_before(quoted, own, ["conv_id", "hash"]), "quote-sources")
+    passage = placed.select("conv_id", "turn", "message", F.explode(passages(F.col("lines"))).alias("passage"))
+    piece = passage.select("conv_id", "turn", "message", F.col("passage")[0]["level"].alias("level"), F.explode(pieces(F.col("passage"))).alias("x"))
+    piece = piece.select("conv_id", "turn", "message", "level", "x.*")
+    own = piece.where("level = 0").select("conv_id", "hash", "turn").distinct()
+    quoted = piece.where("level > 0").select("conv_id", "hash", "turn", "message", "level", "chars", "lines")
+    found = latest_before(quoted, own, ["conv_id", "hash"])
+    found = found.select("conv_id", "turn", "message", F.explode("lines").alias("line"), "level", "chars", "source", (F.size("lines") == 1).alias("alone"))
+    found = stage(found.groupBy("conv_id", "turn", "message", "line").agg(
+        F.max("level").alias("level"), F.max(F.when(F.col("alone"), F.col("chars"))).alias("chars"),
+        F.max(F.when(F.col("source").isNotNull(), F.struct("chars", "source")))["source"].alias("source")), "quote-sources")
     weigh = found.where("level = 1 AND source IS NOT NULL").groupBy("conv_id", "turn", "source").agg(F.sum("chars").alias("chars"))
     parents = weigh.groupBy("conv_id", "turn").agg(F.max(F.struct("chars", "source")).alias("best")).select("conv_id", "turn", F.col("best.source").alias("reply_to"))
     counts = found.groupBy("conv_id", "turn").agg(F.max("level").cast("int").alias("quote_levels"), F.count(F.lit(1)).alias("quoted_lines"),

@@ -118,6 +118,20 @@ def test_nested_quotations(spark):
     assert quotation_links.link(frame.limit(0)).count() == 0
 
 
+def test_wrapped_quotations(spark):
+    """Passages are found however the original or the quotation is wrapped; cut sentences by their lines."""
+    long = "The committee met on Tuesday to discuss the new budget. It found that costs had grown by a third! Why? Nobody knows"
+    wrapped = "The committee met on\n> Tuesday to discuss the new budget. It found that\n> costs had grown by a third! Why?\n> Nobody knows"
+    other = "A second paragraph runs over\nseveral lines of the letter. And it\nends here."
+    rows = [(1, 0, "a", long + "\n\n" + other), (1, 1, "b", "> " + wrapped + "\n\nYes."),
+            (1, 2, "c", "> A second paragraph runs over several\n> lines of the letter. And it ends here.\n\nNo."),
+            (1, 3, "d", ">> " + wrapped.replace("\n> ", "\n>> ") + "\n> Yes.\nSo?"), (1, 4, "e", "> several lines of the letter. And it\nfragment"),
+            (1, 5, "f", "> seven lines of nothing. Nor\n> this."), (1, 6, "g", "x \x0212\x03 y.\n> \x029\x03 Yes."), (1, 7, "h", "word. " * 20_000), (1, 8, "i", "> " + "word.\n> " * 9_000)]
+    got = {r.turn: r for r in quotation_links.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert [got[t].reply_to for t in range(9)] == [None, 0, 0, 1, 0, None, None, None, 7]
+    assert [(got[t].quote_levels, got[t].quoted_lines, got[t].linked_lines) for t in (1, 2, 3, 5, 6, 8)] == [(1, 4, 4), (1, 2, 2), (2, 5, 5), (1, 2, 0), (1, 1, 0), (1, 9000, 9000)]
+
+
 def test_latest_before_crosses_buckets(spark):
     known = spark.createDataFrame([("k", t) for t in (0, 10, 300, 5000)], "key string, turn long")
     asked = spark.createDataFrame([("k", t, t) for t in (0, 5, 10, 11, 299, 300, 301, 4999, 6000)] + [("z", 1, 1)], "key string, turn long, x long")
