@@ -141,15 +141,15 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     counts = found.groupBy("conv_id", "turn").agg(F.max("level").cast("int").alias("quote_levels"), F.count(F.lit(1)).alias("quoted_lines"),
                                                   F.count("source").alias("linked_lines"))
     turns = placed.select("conv_id", "turn").distinct().join(parents, ["conv_id", "turn"], "left")
-    turns = stage(turns.withColumn("thread", F.coalesce("reply_to", "turn")), "quote-threads-0")
+    turns = turns.withColumn("thread", F.coalesce("reply_to", "turn"))
+    turns = stage(turns.withColumn("moved", F.col("thread") != F.col("turn")), "quote-threads-0")
     rounds = 0
-    while True:  # every round doubles the distance that a pointer spans
+    while not turns.where("moved").isEmpty():  # every round doubles the distance that a pointer spans; those at their root rest
         rounds += 1
         up = turns.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("thread").alias("next"))
-        turns = stage(turns.join(up, (F.col("conv_id") == F.col("c")) & (F.col("thread") == F.col("t"))).select(
-            "conv_id", "turn", "reply_to", F.col("next").alias("thread"), (F.col("next") != F.col("thread")).alias("moved")), f"quote-threads-{rounds}")
-        if turns.where("moved").isEmpty():
-            break
+        stepped = turns.where("moved").join(up, (F.col("conv_id") == F.col("c")) & (F.col("thread") == F.col("t"))).select(
+            "conv_id", "turn", "reply_to", F.col("next").alias("thread"), (F.col("next") != F.col("thread")).alias("moved"))
+        turns = stage(turns.where("NOT moved").union(stepped), f"quote-threads-{rounds}")
     turns = number_in_order(turns.drop("moved"), "conv_id", ["thread", "turn"], "quote-positions")
     return (m.select("conv_id", "turn", "role", own_text(F.col("lines")).alias("text"))
             .join(turns, ["conv_id", "turn"], "left").join(counts, ["conv_id", "turn"], "left")
