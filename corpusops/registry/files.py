@@ -52,7 +52,8 @@ def _packed(spark, sf_dir, suffix: str, sep: str) -> str:
                 with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
                     archive.writestr("rows.csv", out.getvalue())
             else:
-                with lzma.open(path, "wt", encoding="utf-8", newline="") as file:
+                # scratch files, read once: the fastest preset, whose search for matches costs a fraction of the usual one's
+                with lzma.open(path, "wt", encoding="utf-8", newline="", preset=0) as file:
                     file.write(out.getvalue())
             yield pd.DataFrame({"rows": [len(frame)]})
 

@@ -1,5 +1,8 @@
+import csv
 import datetime
+import glob
 import gzip
+import io
 import lzma
 import os
 import zipfile
@@ -239,3 +242,17 @@ def test_store_keys_that_look_like_numbers(spark, tmp_path):
 
 def test_position_of_each_text(spark):
     assert sorted(map(tuple, R.texts_to_frame(spark, ["b", "a", "b"], "t", "place").collect())) == [(0, "b"), (1, "a"), (2, "b")]
+
+
+def test_scratch_archives_are_packed_fast(spark):
+    """The fastest preset has a dictionary of 256 KiB; the usual one's needs more than 8 MB to unpack."""
+    from corpusops.registry import files
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    paths = glob.glob(files._packed(spark, "/root/testdata/sf0.001", ".xz", "\t").removeprefix("file:"))
+    found = 0
+    for path in paths:
+        with open(path, "rb") as f:
+            text = lzma.LZMADecompressor(memlimit=2 << 20).decompress(f.read()).decode()
+        found += len(list(csv.reader(io.StringIO(text, newline=""), delimiter="\t"))) - 1
+    assert found == docs.count()
