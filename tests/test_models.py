@@ -52,6 +52,21 @@ def test_tfidf_long_and_vector_agree(spark):
         assert got == {key: w for key, w in EXPECTED.items() if key[0] == row["k"]}
 
 
+def test_tfidf_parts_follow_the_entries(spark, monkeypatch):
+    """Parts by the sum of the document frequencies, frequent terms in several cells: the same weights, in parts of bounded size."""
+    docs = [(k, " ".join(["common"] * (k % 3 + 1) + [f"w{k % 7}", f"v{k % 5}"])) for k in range(40)] + [(3, "common w3 again"), (None, "common none"), (None, "w1 none")]
+    df = spark.createDataFrame(docs, "k long, t string")
+    weigh = lambda: sorted((str(r["k"]), r["term"], r["tf"], round(r["weight"], 9)) for r in X.tfidf(df, "k", "t", 2).collect())
+    want = weigh()
+    assert ("3", "common", 2, ) == next(r[:3] for r in want if r[:2] == ("3", "common"))
+    assert [r[2] for r in want if r[:2] == ("None", "none")] == [2]
+    monkeypatch.setattr(X, "PART_ENTRIES", 20)
+    monkeypatch.setattr(X, "CELL_ENTRIES", 8)
+    assert weigh() == want
+    entries = sum(len(set(t.split())) for _, t in docs)
+    assert X.tfidf(df, "k", "t", 2).rdd.getNumPartitions() == -(-entries // 20)
+
+
 def test_vocabulary_bound_is_an_error_not_a_cut(spark):
     df = spark.createDataFrame(TWO, "k long, t string")
     with pytest.raises(ValueError, match="more than 2"):
