@@ -67,6 +67,21 @@ def test_tfidf_parts_follow_the_entries(spark, monkeypatch):
     assert X.tfidf(df, "k", "t", 2).rdd.getNumPartitions() == -(-entries // 20)
 
 
+def test_a_given_classifier_reads_written_vectors(spark, corpus):
+    seen = []
+
+    class Watched(LinearSVC):
+        def fit(self, dataset, params=None):
+            seen.append(dataset)
+            return super().fit(dataset, params)
+
+    model = linear.fit_text_classifier(corpus, "content", min_df=1, classifier=Watched(labelCol="true_label", maxIter=5))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "__tfidf" in plan and "regexp_extract_all" not in plan
+    plain = LinearSVC(labelCol="true_label", maxIter=5).fit(PipelineModel(model.stages[:-1]).transform(corpus).select("features", "true_label"))
+    assert np.allclose(plain.coefficients.toArray(), model.stages[-1].coefficients.toArray(), atol=1e-6)
+
+
 def test_vocabulary_bound_is_an_error_not_a_cut(spark):
     df = spark.createDataFrame(TWO, "k long, t string")
     with pytest.raises(ValueError, match="more than 2"):
