@@ -11,7 +11,8 @@ left boundary to those at its right one. The product is associative, so matrices
 one task, their products in turn, until a text has one; on the way back down the states at the ends of a range fix
 those at its inner boundaries, and then each chunk is traced on its own.
 Where no piece crosses a position (before a word's space mark), paths meet, so words inside a chunk
-are independent of the boundaries and are looked up in a table of words seen lately.
+are independent of the boundaries and are looked up in a table of words seen lately. The same holds, for a BPE model,
+between two characters that are neighbours in no piece (a letter and the full stop behind it): short texts are cut there too.
 """
 
 from __future__ import annotations
@@ -68,6 +69,7 @@ class Lattice:
         normal = [(i, p, s) for i, (p, s, kind) in enumerate(model["pieces"]) if kind in (1, 4)]
         self.ids = {p: i for i, p, _ in normal}
         self.scores = {p: s for _, p, s in normal}
+        self.codes = {p: array("i", [i]).tobytes() for p, i in self.ids.items()}
         self.names = [p for p, _, _ in model["pieces"]]
         self.unknown = next((i for i, (_, _, kind) in enumerate(model["pieces"]) if kind == 2), 0)
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(model["pieces"]) if kind == 6} if model["fallback"] else {}
@@ -78,6 +80,16 @@ class Lattice:
         self.none = float("-inf")
         #: without such a piece no path can run across the place before a space mark
         self.cuts = all(MARK not in p.lstrip(MARK) for p in self.ids)
+        #: neighbouring characters of some piece, with the score of the two as a piece; paths never run across others
+        self.near = {pair: self.scores.get("".join(pair), self.none) for p in self.ids for pair in zip(p, p[1:])}
+        #: the same by code points, through the places of left and right characters (0: others)
+        self.left, self.right = (np.zeros(0x110000, np.int16) for _ in range(2))
+        for places, side in ((self.left, 0), (self.right, 1)):
+            found = sorted({ord(pair[side]) for pair in self.near})
+            places[found] = np.arange(1, len(found) + 1)
+        self.joined = np.zeros((self.left.max() + 1, self.right.max() + 1), bool)
+        for a, b in self.near:
+            self.joined[self.left[ord(a)], self.right[ord(b)]] = True
         self.pairs: dict[tuple[str, str], bool] = {}
         self.alone: dict[str, bool] = {}
         self.words: dict[str, bytes] = {}
@@ -85,19 +97,23 @@ class Lattice:
 
     def merge(self, text: str) -> list[str]:
         """The pieces of a short text by merging: best score first, leftmost among equals."""
-        parts, get, none = list(text), self.scores.get, self.none
-        scores = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        get, none = self.near.get, self.none
+        return self._merged(list(text), [get(pair, none) for pair in zip(text, text[1:])])
+
+    def _merged(self, parts: list[str], scores: list[float]) -> list[str]:
+        """Characters and the scores of neighbouring ones (both used up)."""
+        get, none = self.scores.get, self.none
         while scores:
             best = max(scores)
             if best == none:
                 break
             i = scores.index(best)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
             del scores[i]
+            parts[i] = joined = parts[i] + parts.pop(i + 1)
             if i < len(scores):
-                scores[i] = get(parts[i] + parts[i + 1], none)
+                scores[i] = get(joined + parts[i + 1], none)
             if i:
-                scores[i - 1] = get(parts[i - 1] + parts[i], none)
+                scores[i - 1] = get(parts[i - 1] + joined, none)
         return parts
 
     def allowed(self, left: str, right: str) -> bool:
@@ -170,14 +186,57 @@ class Lattice:
         if found is None:
             found = self.older.get(text)
             if found is None:
-                pieces = self.merge(text) if self.bpe and len(text) <= MERGED else self.trace(self.forward(text, 0, len(text)), len(text))
-                found = array("i", self.numbers(pieces)).tobytes()
+                if self.bpe and len(text) <= MERGED:
+                    found = self._short(text)
+                else:
+                    found = array("i", self.numbers(self.trace(self.forward(text, 0, len(text)), len(text)))).tobytes()
             if len(text) <= MERGED:
                 if len(self.words) >= REMEMBER:
                     self.older, self.words = self.words, {}
                 self.words[text] = found
         return found
 
+    def _short(self, text: str) -> bytes:
+        """Numbers of a short word of a BPE model; stretches between characters that no piece joins (as before a full stop) are words of their own."""
+        scores = list(map(self.near.get, zip(text, text[1:])))
+        if None in scores:
+            out, first, table, word = [], 0, self.words, self.word
+            for at, score in enumerate(scores, 1):
+                if score is None:
+                    part = text[first:at]
+                    out.append(table.get(part) or word(part))
+                    first = at
+            part = text[first:]
+            out.append(table.get(part) or word(part))
+            return b"".join(out)
+        pieces = self._merged(list(text), scores)
+        try:
+            return b"".join(map(self.codes.__getitem__, pieces))
+        except KeyError:
+            return array("i", self.numbers(pieces)).tobytes()
+
+    def whole(self, texts: pa.StringArray) -> pa.ListArray:
+        """Numbers of the pieces of whole texts without nulls, by a BPE model.
+
+        Texts are cut between characters that no piece joins, all at once, and each different stretch is looked up once.
+        """
+        starts = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset).astype(np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[starts[0]:starts[-1]]
+        starts -= starts[0]
+        chars = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        first = np.zeros(len(data) + 1, bool)
+        first[np.flatnonzero((data & 0xC0) != 0x80)[1:][~self.joined[self.left[chars[:-1]], self.right[chars[1:]]]]] = True
+        first[starts] = True
+        firsts = np.flatnonzero(first[:-1])
+        words = pa.StringArray.from_buffers(len(firsts), pa.py_buffer(np.append(firsts, len(data)).astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        table, word = self.words, self.word
+        codes = [table.get(w) or word(w) for w in words.dictionary.to_pylist()]
+        sizes, which = np.fromiter(map(len, codes), np.int64, len(codes)) // 4, words.indices.to_numpy()
+        size = sizes[which]
+        ends = np.append(0, np.cumsum(size))
+        numbers = np.frombuffer(b"".join(codes), np.int32)[np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], size) + np.arange(ends[-1])]
+        return pa.ListArray.from_arrays(pa.array(ends[np.searchsorted(firsts, starts)].astype(np.int32)), pa.array(numbers))
+
     # chunks ---------------------------------------------------------------------------------------
 
     def states(self, text: str, at: int) -> list[tuple[int, str]]:
@@ -442,7 +501,7 @@ def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
         lattice = _lattice(shared)
         for batch in batches:
             for rows in _slices(batch, "t"):
-                pieces = listed(lattice.encode(t, 0, len(t)) if t else [] for t in rows["t"].to_pylist())
+                pieces = lattice.whole(rows["t"]) if lattice.bpe else listed(lattice.encode(t, 0, len(t)) if t else [] for t in rows["t"].to_pylist())
                 yield pa.RecordBatch.from_arrays([rows["key"], pieces], ["key", "pieces"])
         pa.default_memory_pool().release_unused()
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -161,6 +162,22 @@ def test_pieces_equal_the_library(spark, chunk):
         assert list(r.pieces) == want[r.key] and r.text == (texts[r.key] or "").replace("▁", " ")
 
 
+def test_stretches_that_no_piece_joins_are_merged_once(monkeypatch):
+    """Marks behind a word do not make it another word; texts of a sliced array keep their places."""
+    lattice, merged = sentence_pieces.Lattice(sentence_pieces.read_model(PIECES)), []
+    plain = sentence_pieces.Lattice._merged
+    monkeypatch.setattr(sentence_pieces.Lattice, "_merged", lambda self, parts, scores: merged.append("".join(parts)) or plain(self, parts, scores))
+    ends = ["", ",\n", ".\n", "\u4e00", "\U0001f642"]
+    texts = ["skipped", *[f"nothingness{e}" for e in ends], "", *HARD, "", "nothingness"]
+    array = pa.array(["\u2581" + t.replace(" ", "\u2581") if t else "" for t in texts]).slice(1)
+    got = lattice.whole(array)
+    assert got.to_pylist() == plain_pieces(texts[1:]) and merged.count("\u2581nothingness") == 1
+    assert not [m for m in merged if m.startswith("\u2581nothingness") and m != "\u2581nothingness"]
+    assert lattice.whole(array.slice(0, 0)).to_pylist() == [] and lattice.whole(pa.array(["", ""])).to_pylist() == [[], []]
+    for word in ("\u2581nothingness,\n", "\u2581x" * 60, "a\u2581\u2581b.c"):
+        assert lattice.word(word) == np.array(sum((lattice.numbers([p]) for p in lattice.merge(word)), []), np.int32).tobytes()
+
+
 def unigram_model():
     from sentencepiece import sentencepiece_model_pb2 as pb
 
