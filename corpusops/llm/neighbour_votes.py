@@ -9,7 +9,8 @@ NEIGHBOURS most similar ones are weighted by a power of the cosine.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ WORD_DIMS, SHAPE_DIMS, LATENT, NEIGHBOURS, POWER = 4096, 512, 64, 15, 4.0
 #: documented bound of the labelled sample: it is drawn by hash from all labelled rows of the training folds
 MAX_LABELLED = 8192
 DIMS, GROUP = WORD_DIMS + SHAPE_DIMS, 256
+#: rows of the labelled sample that the driver holds dense at a time, 18 KB each
+BLOCK = 512
 
 _IS = {name: np.zeros(256, bool) for name in ("upper", "lower", "digit", "stop", "mark")}
 _IS["upper"][65:91] = True
@@ -117,12 +120,23 @@ def _features(idf):
     return run
 
 
-def latent_directions(x: np.ndarray, k: int = LATENT, rounds: int = 4) -> np.ndarray:
-    """The first right singular directions of ``x``, by subspace iteration from a fixed start."""
-    k = min(k, *x.shape)
-    q = np.linalg.qr(np.random.default_rng(7).standard_normal((x.shape[1], k)).astype(np.float32))[0]
+def dense_blocks(at: pa.ListArray, value: pa.ListArray, order: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of weights in the given order, dense (rows x DIMS), at most BLOCK at a time, from the dimensions that each uses."""
+    starts, where, what = at.offsets.to_numpy(), at.values.to_numpy(), value.values.to_numpy()
+    for first in range(0, len(order), BLOCK):
+        own = order[first:first + BLOCK]
+        x = np.zeros((len(own), DIMS), np.float32)
+        for place, i in enumerate(own.tolist()):
+            x[place, where[starts[i]:starts[i + 1]]] = what[starts[i]:starts[i + 1]]
+        yield x
+
+
+def latent_directions(blocks: Callable[[], Iterator[np.ndarray]], rows: int, k: int = LATENT, rounds: int = 4) -> np.ndarray:
+    """The first right singular directions of the ``rows`` that ``blocks`` gives, by subspace iteration from a fixed start."""
+    k = min(k, rows, DIMS)
+    q = np.linalg.qr(np.random.default_rng(7).standard_normal((DIMS, k)).astype(np.float32))[0]
     for _ in range(rounds):
-        q = np.linalg.qr(x.T @ (x @ q))[0]
+        q = np.linalg.qr(sum(x.T @ (x @ q) for x in blocks()))[0]
     return q
 
 
@@ -180,16 +194,17 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     sample = (given.join(F.broadcast(known), (F.col("id") == F.col("of")) & (F.col("digest") == F.col("first"))).dropDuplicates(["of"])
               .select("label", "text").mapInArrow(_features(shared), "label int, at array<int>, value array<float>").toArrow())
     y = sample["label"].to_numpy().astype(float)
+    at, value = sample["at"].combine_chunks(), sample["value"].combine_chunks()
     some = np.zeros((len(y), -(-DIMS // 97)), np.float32)  # every 97th dimension, for an order that does not depend on the tasks
-    for i, (at, value) in enumerate(zip(sample["at"], sample["value"])):
-        at, value = at.values.to_numpy(), value.values.to_numpy()
-        some[i, at[at % 97 == 0] // 97] = value[at % 97 == 0]
+    used = at.values.to_numpy()
+    among = np.flatnonzero(used % 97 == 0)
+    some[np.searchsorted(at.offsets.to_numpy(), among, "right") - 1, used[among] // 97] = value.values.to_numpy()[among]
     order = np.lexsort((*some.T, y))
-    x, y = np.zeros((len(y), DIMS), np.float32), y[order]  # the only dense copy: at most max_labelled rows of 18 KB
-    for place, i in enumerate(order.tolist()):
-        x[place, sample["at"][i].values.to_numpy()] = sample["value"][i].values.to_numpy()
-    directions = latent_directions(x) if len(y) else np.zeros((DIMS, 1), np.float32)
-    model = spark.sparkContext.broadcast((idf, directions, _unit(x @ directions).astype(np.float32), (y > 0).astype(float),
+    y = y[order]
+    blocks = partial(dense_blocks, at, value, order)  # the sample is never dense as a whole
+    directions = latent_directions(blocks, len(y)) if len(y) else np.zeros((DIMS, 1), np.float32)
+    latent = np.concatenate([x @ directions for x in blocks()]) if len(y) else np.zeros((0, 1), np.float32)
+    model = spark.sparkContext.broadcast((idf, directions, _unit(latent).astype(np.float32), (y > 0).astype(float),
                                           float((y > 0).mean()) if len(y) else 0.5))
     whole = text in carry
     inner = "text" + "_" * max(map(len, carry))  # a name that no carried column has

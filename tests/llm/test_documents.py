@@ -2,9 +2,11 @@
 
 import collections
 import math
+import tracemalloc
 import zlib
 from fractions import Fraction
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -142,6 +144,32 @@ def test_classifier_awkward_rows(spark):
     assert neighbour_votes.classify(empty(spark), labels).count() == 0
 
 
+def test_classifier_sample_is_never_dense_as_a_whole(spark, monkeypatch):
+    monkeypatch.setattr(neighbour_votes, "BLOCK", 64)
+    docs = spark.createDataFrame([(i, prose(i, 30)) for i in range(1200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1200)], "doc_id long, quality int")
+    neighbour_votes.classify(docs, labels)
+    tracemalloc.start()
+    neighbour_votes.classify(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10e6  # about 800 rows of 18 KB are 15 MB
+
+
+def test_latent_directions_by_blocks(spark, monkeypatch):
+    x = (np.random.default_rng(3).random((100, neighbour_votes.DIMS)) * (np.arange(100) % 7 + 1)[:, None]).astype(np.float32)
+    x[x < 1.5] = 0
+    lists = [pa.array([list(v) for v in rows], pa.list_(t)) for rows, t in (
+        ([np.flatnonzero(r) for r in x], pa.int32()), ([r[r != 0] for r in x], pa.float32()))]
+    order = np.random.default_rng(4).permutation(100)
+    monkeypatch.setattr(neighbour_votes, "BLOCK", 17)
+    blocks = lambda: neighbour_votes.dense_blocks(*lists, order)
+    assert np.array_equal(np.concatenate(list(blocks())), x[order])
+    by_blocks = neighbour_votes.latent_directions(blocks, 100, 5)
+    whole = neighbour_votes.latent_directions(lambda: iter([x[order]]), 100, 5)
+    assert np.allclose(by_blocks @ by_blocks.T, whole @ whole.T, atol=1e-3)
+
+
 # mixing ---------------------------------------------------------------------------------------------
 
 
