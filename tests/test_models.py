@@ -349,3 +349,45 @@ def test_train_and_infer(spark, corpus, tmp_path):
     single = tmp_path / "one.csv"
     single.write_text("text\nСпорт\n", encoding="utf-8")
     assert infer.score_file(spark, model, str(single), options=OPTIONS).first()["predicted_labels"] == 0
+
+
+def test_block_curves_equal_dense_ones():
+    rng = np.random.default_rng(5)
+    x = rng.random((300, 600)) * (rng.random((300, 600)) < 0.1)
+    weight = rng.random(300)
+    r, c = np.nonzero(x)
+    got = newton._block_curve(r, c, x[r, c], weight, 3).reshape(3, newton.BLOCK, newton.BLOCK)
+    want = (x * weight[:, None]).T @ x
+    for b in range(3):
+        a, z = b * newton.BLOCK, min(600, (b + 1) * newton.BLOCK)
+        assert np.allclose(got[b, :z - a, :z - a], want[a:z, a:z])
+
+
+def test_blocks_and_lengths_solve_their_problems():
+    rng = np.random.default_rng(6)
+    a = rng.standard_normal((3, 40, 20))
+    curve, gradient, weights = np.einsum("bni,bnj->bij", a, a), rng.standard_normal((3, 20)) * 20, rng.standard_normal((3, 20)) * (rng.random((3, 20)) < 0.5)
+    for b, step in enumerate(newton.solve_blocks(gradient, curve, weights, 2.0)):
+        assert np.allclose(step, newton.solve_quadratic(gradient[b], curve[b], weights[b], 2.0), atol=1e-5)
+    # parts of one feature each: the lengths are the solution itself
+    w = np.r_[0.0, weights[0]]
+    parts = [(np.array([0]), np.array([0.0]))] + [(np.array([j + 1]), np.array([1.0])) for j in range(20)]
+    gram = np.zeros((21, 21))
+    gram[1:, 1:] = curve[0]
+    t = newton.step_lengths(np.r_[0.0, gradient[0]], gram, parts, np.r_[1.0, np.zeros(20)], w, 2.0, 1000)
+    assert np.allclose(t[1:], newton.solve_quadratic(gradient[0], curve[0], weights[0], 2.0), atol=1e-5)
+
+
+def test_more_features_in_use_than_one_block(spark, monkeypatch):
+    """Several times as many weights in use as a pass has second derivatives of all with all settle in few passes."""
+    monkeypatch.setattr(newton, "MAX_ACTIVE", 64)
+    monkeypatch.setattr(newton, "COMMON", 32, raising=False)
+    monkeypatch.setattr(newton._Search.choose, "__defaults__", (64,))
+    rng = np.random.default_rng(7)
+    n, p, k = 1500, 900, 30
+    at = np.minimum((p * rng.random((n, k)) ** 3).astype(int), p - 1)
+    rows = [(float(rng.random() < 0.5), Vectors.sparse(p, [(int(j), float(v)) for j, v in zip(np.unique(a), rng.random(k) + 0.1)])) for a in at]
+    staged = stage(spark.createDataFrame(rows, ["label", "features"]).coalesce(1), "wide")
+    fit = newton.fit_l1(newton.tabled(newton.plain_vectors(staged), "features", "label"), newton.Shape(p), [newton.Problem(p)], 0.5, max_passes=80)[0]
+    assert np.count_nonzero(fit.weights) > 300
+    assert fit.violation <= 1e-4
