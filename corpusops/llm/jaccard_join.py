@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import drop_stages, stage
+from .common import small_batches
 from .components import components
 from .tokens import mix, shingle_sets
 
@@ -168,7 +169,8 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     extra = ["digest"] if nodes else []
     digested = plain.withColumn("digest", text_digest(F.col("text"))) if nodes else plain
-    measured = stage(digested.mapInArrow(_measure(width, extra), ", ".join(f"{c} long" for c in ["cell", "doc_id", "node", "n", *extra])), "shingle-sizes")
+    with small_batches(spark):
+        measured = stage(digested.mapInArrow(_measure(width, extra), ", ".join(f"{c} long" for c in ["cell", "doc_id", "node", "n", *extra])), "shingle-sizes")
     rows = measured.where("cell IS NULL").drop("cell")
     counts = np.zeros(CELLS, np.int64)
     for r in measured.where("cell IS NOT NULL").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():  # at most CELLS rows
@@ -184,7 +186,8 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
     posted = representatives(plain.mapInArrow(
         _post(width, percent, order), "doc_id long, node long, n long, posts array<long>, bits array<long>").where("n > 0"))
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent * 1.003))).cast("int")
-    posted = stage(posted.select("node", "n", "bits", band.alias("band"), "posts"), "shingle-posts")
+    with small_batches(spark):
+        posted = stage(posted.select("node", "n", "bits", band.alias("band"), "posts"), "shingle-posts")
     flat = posted.select("node", "n", "band", F.posexplode("posts").alias("at", "shingle"))
     # most shingles are posted once: counting them alone moves one number each, and only the others get tiles
     often = flat.groupBy(F.col("shingle").alias("s")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("s")
@@ -214,10 +217,12 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id
         # an id may be null or stand for several texts, so the node decides which arrays stay
         arrays = plain.join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").mapInArrow(_arrays(width), "node long, shingles array<long>")
         arrays = arrays.join(wanted.select("w"), F.col("node") == F.col("w"), "left_semi")
-        arrays = stage(arrays.dropDuplicates(["node"]), f"{name}-arrays")
+        with small_batches(spark):
+            arrays = stage(arrays.dropDuplicates(["node"]), f"{name}-arrays")
         x = arrays.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
         y = arrays.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        links = stage(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), f"{name}-links")
+        with small_batches(spark):
+            links = stage(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), f"{name}-links")
         drop_stages(wanted, arrays)
         return links, pairs
 

@@ -30,11 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .common import small_batches
 
 #: characters of a chunk; chunks (then ranges of them) that are combined in one task
 CHUNK, FAN = 1 << 15, 64
 #: words a process remembers (twice that for a while), each about 200 bytes; pairs of pieces; bytes of text worked on at once
 REMEMBER, PAIRS, SLICE = 100_000, 50_000, 1 << 20
+#: chunks that are handed to a Python process at once
+CHUNKS = 64
 #: longer stretches without a space are traced, not merged, which takes time with the square of their length
 MERGED = 64
 MARK = "▁"
@@ -527,8 +530,9 @@ def encode(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
     most = cut.agg(F.max("chunks")).first()[0]
     if most is None:
         return short
-    matrices = stage(cut.select("id", "chunk", "lead", "size", "part")
-                     .mapInArrow(transfer, "id long, chunk int, enter array<double>, leave array<double>, rows int"), "piece-matrices")
+    with small_batches(spark, CHUNKS):
+        matrices = stage(cut.select("id", "chunk", "lead", "size", "part")
+                         .mapInArrow(transfer, "id long, chunk int, enter array<double>, leave array<double>, rows int"), "piece-matrices")
     states = stage(scan_states(matrices, most), "piece-states").select(F.col("id").alias("of"), F.col("chunk").alias("at"), "i", "j")
     placed = cut.join(states, (F.col("id") == F.col("of")) & (F.col("chunk") == F.col("at")))
     long = placed.select("id", "key", "chunk", "lead", "size", "part", "i", "j").mapInArrow(trace, f"id long, key {kind}, chunk int, pieces array<int>")
@@ -544,7 +548,8 @@ def decode(encoded: DataFrame, model_file: str, pieces: str = "pieces", out: str
     first: else a task that encodes and decodes would hold two Python processes at once.
     """
     spark = encoded.sparkSession
-    encoded = stage(encoded, "pieces")
+    with small_batches(spark):
+        encoded = stage(encoded, "pieces")
     shared = spark.sparkContext.broadcast(model or read_model(model_file))
 
     @F.pandas_udf("string")

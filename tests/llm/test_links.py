@@ -9,8 +9,10 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusops.llm import permutation_index, quotation_links, sentence_pieces, url_filters
+from corpusops.llm import jaccard_join, permutation_index, quotation_links, sentence_pieces, url_filters
+from corpusops.llm.common import small_batches
 from corpusops.llm.queries import PIECES, QUERIES, URL_RULES
+from corpusops.session import stage
 
 from .support import LONG, TEXTS, awkward, empty, prose, words
 from .test_documents import plain_components, plain_counts
@@ -349,3 +351,26 @@ def test_near_duplicates_without_unique_ids(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = corpus_pipeline.duplicates_stage(spark, docs, "").collect()
     assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(1, a), (1, other), (0, prose(42, 90)), (0, "")])
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    """Whole texts, chunks, shingles and pairs of sets: an executor and its Python processes hold a batch of each."""
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+
+    def watched(df, name):
+        seen[name] = int(spark.conf.get(key))
+        return stage(df, name)
+
+    for module in (sentence_pieces, jaccard_join):
+        monkeypatch.setattr(module, "stage", watched)
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(i, f"one two three four five six seven {i // 2} {'x' * 40 * (i % 2)}") for i in range(8)], "doc_id long, text string")
+    chunk = 4 * max(len(p) for p, _, _ in sentence_pieces.read_model(PIECES)["pieces"])
+    assert sentence_pieces.decode(sentence_pieces.encode(docs.unionByName(docs.selectExpr("doc_id + 8 AS doc_id", "repeat(text, 9) AS text")), PIECES, chunk=chunk), PIECES).count() == 16
+    assert jaccard_join.linked_components(docs, 2, 50).count() == 8
+    small = {name for name in seen if seen[name] <= 512}
+    assert {"piece-matrices", "pieces", "shingle-sizes", "shingle-posts", "star-arrays", "star-links"} <= small
+    assert spark.conf.get(key) == before
+    with small_batches(spark, 3):
+        sizes = spark.range(0, 10, 1, 1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+        assert [r["n"] for r in sizes.collect()] == [3, 3, 3, 1]
