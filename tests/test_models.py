@@ -11,7 +11,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusops.models import curves, linear, newton
+from corpusops.models import curves, linear, newton, whole
 from corpusops.operators import features as X
 from corpusops.operators.metrics import log_loss
 from corpusops.plans import infer, textflow, train
@@ -405,3 +405,67 @@ def test_quadratic_problems_are_solved_to_the_minimum():
         assert newton.violations(np.where(np.abs(weights + step) < 1e-12, 0.0, weights + step), gradient + curve @ step, 0.5).max() < 1e-6
         assert not (weights + step)[np.diag(curve) == 0].any()
 
+
+
+def test_whole_problems_in_tasks_reach_the_optimum_of_the_passes(sparse_rows):
+    rows = sparse_rows[-1]
+    problems = [newton.Problem(12), newton.Problem(5), newton.Problem(12, 2), newton.Problem(12, 1, 0.3), newton.Problem(12, 0, 0.0), newton.Problem(0), newton.Problem(9, 1, 0.3)]
+    for shape in (newton.Shape(12, scale=np.linspace(0.5, 3, 12)), newton.Shape(12, normalise=True), newton.Shape(12, bias=False)):
+        want = newton.fit_l1(rows, shape, problems, 0.5, tol=1e-7)
+        got = whole.solve_whole(rows, shape, problems, 0.5, tol=1e-7)
+        losses = newton.problem_losses(rows, shape, problems, [f.weights for f in want]).toPandas().set_index(["problem", "part"])
+        parts = [s.losses for s in whole.solve_whole(rows, shape, problems, 0.5, tol=1e-7, keep=False)]
+        for k, (a, b) in enumerate(zip(got, want)):
+            assert a.fit.violation <= 1e-7 and a.fit.rows == b.rows and a.fit.loss == pytest.approx(b.loss, abs=1e-4)
+            assert a.fit.weights == pytest.approx(b.weights, abs=1e-4)
+            for part, (n, positives, loss) in zip(("train", "valid"), parts[k].reshape(2, 3)):
+                assert (n, positives) == (losses.loc[(k, part), "rows"], losses.loc[(k, part), "positives"])
+                assert not n or loss / n == pytest.approx(losses.loc[(k, part), "log_loss"], abs=1e-4)
+
+
+def test_many_fits_of_a_small_table_take_no_passes(corpus, monkeypatch):
+    """Each pass is a Spark job, and a sweep has thousands of fits."""
+    def passed(*_):
+        raise AssertionError("a pass over a table that a task can hold")
+
+    monkeypatch.setattr(newton, "_add_up", passed)
+    curve = curves.min_df_sweep(corpus, "link", "m", "content", min_df_values=[2, 10], fractions=[0.5, 1.0], folds=2)[2]
+    assert curve.count() == 8 and curve.agg(F.max("violation")).first()[0] <= 1e-4
+    monkeypatch.setattr(whole, "ENTRIES", 10)
+    with pytest.raises(AssertionError, match="a pass"):
+        curves.min_df_sweep(corpus, "link", "m", "content", min_df_values=[2, 10], fractions=[], folds=2)
+
+
+def test_problems_too_wide_for_a_task_go_on_in_passes(sparse_rows):
+    x, y, fold, draw, rows = sparse_rows
+    held = whole.Held(iter(rows.where(F.col("draw") < newton.LEFT_OUT).toArrow().to_batches()))
+    view = held.view(newton.Problem(12), newton.Shape(12), held.draw < 2)
+    full = whole.solve(view, 12, 0.5, tol=1e-6)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(whole, "ACTIVE", 3)
+        short = whole.solve(view, 12, 0.5, tol=1e-6)
+    assert full.violation <= 1e-6 and np.count_nonzero(full.weights) > 3
+    assert short.violation > 1e-6 and short.passes < full.passes + 3  # unsolved: the passes go on from here
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(whole, "solve_whole", lambda *a: [whole.Solved(short, np.zeros(3))])
+        fits = whole.fit(rows, newton.Shape(12), [newton.Problem(12)], 0.5, tol=1e-6)
+    assert fits[0].violation <= 1e-6 and fits[0].weights == pytest.approx(full.weights, abs=1e-4)
+
+
+def test_problems_are_dealt_once_and_warm():
+    problems = [newton.Problem(w, k, f) for f in (0.1, 1.0) for w in (5, 9, 3) for k in range(2)]
+    dealt = whole._deal(problems, 3)
+    assert sorted(k for own in dealt for k in own) == list(range(len(problems)))
+    for own in dealt:
+        assert [problems[k].fraction for k in own] == sorted(problems[k].fraction for k in own)
+    assert whole._deal([newton.Problem(3)], 8) == [[0]]
+
+
+def test_single_precision_curves_give_the_same_step():
+    """Twins make the curve singular: it is solved in double precision whatever it is stored in."""
+    r = np.random.default_rng(8)
+    x = (r.random((400, 80)) < 0.2) * r.random((400, 80))
+    x[:, 1:20] = x[:, [0]]
+    curve, gradient, weights = (x.T @ x / 5).astype(np.float32), 0.5 * x.T @ r.normal(size=400), np.where(r.random(80) < 0.4, r.normal(size=80), 0.0)
+    step = newton.solve_quadratic(gradient, curve, weights, 0.5)
+    assert newton.violations(np.where(np.abs(weights + step) < 1e-12, 0.0, weights + step), gradient + curve.astype(float) @ step, 0.5).max() < 1e-6
