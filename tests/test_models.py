@@ -469,3 +469,20 @@ def test_single_precision_curves_give_the_same_step():
     curve, gradient, weights = (x.T @ x / 5).astype(np.float32), 0.5 * x.T @ r.normal(size=400), np.where(r.random(80) < 0.4, r.normal(size=80), 0.0)
     step = newton.solve_quadratic(gradient, curve, weights, 0.5)
     assert newton.violations(np.where(np.abs(weights + step) < 1e-12, 0.0, weights + step), gradient + curve.astype(float) @ step, 0.5).max() < 1e-6
+
+
+def test_features_that_are_sums_of_others_keep_a_curve_in_single_precision():
+    """Rounding must not bend the curve downwards, or steps run away from the minimum."""
+    r = np.random.default_rng(9)
+    x = (r.random((600, 300)) < 0.2) * r.random((600, 300))
+    x[:, 150:] = x[:, :150] + x[:, np.roll(np.arange(150), 7)]
+    held = whole.Held(iter([]))
+    row, held.at = np.nonzero(x)
+    held.value, held.lengths = x[row, held.at], np.bincount(row, minlength=600)
+    held.label, held.fold, held.draw = (r.random(600) < 0.5).astype(float), np.full(600, -2), np.zeros(600)
+    view = held.view(newton.Problem(300), newton.Shape(300, bias=False), np.ones(600, bool))
+    curve = view.curve(np.arange(300), np.full(600, 0.25))
+    assert np.allclose(curve, x.T @ x / 4, rtol=1e-4, atol=1e-4)
+    assert np.linalg.eigvalsh(curve.astype(float)).min() > 0
+    found = whole.solve(view, 300, 0.5, tol=1e-5, max_passes=60)
+    assert found.violation <= 1e-5
